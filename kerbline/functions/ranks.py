@@ -9,6 +9,7 @@ from kerbline.errors import DataError
 
 HASH_SPAN = 16**13
 ACCURACY = 10_000
+SAMPLE_ROWS = 20_000_000
 
 
 def row_hash(*keys: str, seed: int = 42) -> Column:
@@ -28,31 +29,26 @@ def _kth(df: DataFrame, column: str, k: int, total: int):
     dtype = dict(df.dtypes)[column]
     col = F.col(column)
     if dtype == "string":
-        counts, before = df.groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows")), 0
-        return _pick(counts, k, before)
-    margin = 5 / ACCURACY
+        return _pick(df.groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows")), k)
+    share = min(1.0, SAMPLE_ROWS / total)
+    sample = df.select(column) if share == 1 else df.select(column).sample(share, seed=11)
+    margin = 5 / ACCURACY + (0 if share == 1 else 4 / SAMPLE_ROWS**0.5)
     while True:
         near = [max(0.0, (k / total) - margin), min(1.0, (k / total) + margin)]
-        low, high = df.agg(F.percentile_approx(col, near, ACCURACY).alias("b")).first()["b"]
-        if margin >= 1:
-            counts, before = df.groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows")), 0
-            return _pick(counts, k, before)
+        low, high = sample.agg(F.percentile_approx(col, near, ACCURACY).alias("b")).first()["b"]
         cell = F.when(col < literal(low, dtype), F.lit(None)).otherwise(col)
-        counts = (
-            df.where(col <= literal(high, dtype))
-            .groupBy(cell.alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-        found = _pick(counts, k, 0)
-        if found and found[0] is not None:
+        within = df if margin >= 1 else df.where(col <= literal(high, dtype))
+        counts = within.groupBy((col if margin >= 1 else cell).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+        found = _pick(counts, k)
+        if found and (found[0] is not None or margin >= 1):
             return found
         margin *= 20
 
 
-def _pick(counts: DataFrame, k: int, before: int):
+def _pick(counts: DataFrame, k: int):
     running = Window.orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     row = (
-        counts.withColumn("stop", F.sum("rows").over(running) + F.lit(before))
+        counts.withColumn("stop", F.sum("rows").over(running))
         .where(F.col("stop") >= k)
         .orderBy("stop")
         .first()

@@ -182,7 +182,11 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
                 F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("rows_changed"),
             ),
             *[
-                F.struct(F.lit("impute"), F.lit(r.column), F.count_if(r.is_fault(F.col(r.column))))
+                F.struct(
+                    F.lit("impute").alias("step"),
+                    F.lit(r.column).alias("column"),
+                    F.count_if(r.is_fault(F.col(r.column))).alias("rows_changed"),
+                )
                 for r in OUTLIER_RULES
             ],
         ).alias("e")

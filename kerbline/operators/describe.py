@@ -248,7 +248,7 @@ def narrative_text(df: DataFrame, distribution: DataFrame) -> DataFrame:
             whole_number(F.col("mode_high")),
             whole_number(F.col("mean")),
             whole_number(F.col("median")),
-            F.format_number(F.bround("skewness", 3), "0.000"),
+            F.format_string("%.3f", F.bround("skewness", 3)),
         ).alias("line"),
     )
     weather = weather_extremes(df).select(

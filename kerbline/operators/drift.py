@@ -11,6 +11,7 @@ from kerbline.errors import DataError
 from kerbline.functions.quantiles import exact_quantiles, long_form
 from kerbline.operators.features import shift_transform
 from kerbline.operators.splits import chronological_cut, fixed_size_sample
+from kerbline.shared import saved
 
 # Fixed values.
 FEATURES = ["traffic_volume", "temp", "rain_occurrence", "clouds_all", "hour"]
@@ -64,15 +65,16 @@ def bin_profile(df: DataFrame, edges: DataFrame, by: list[str], features: list[s
 
 def reference_profile(reference: DataFrame, features: list[str], bins: int = BINS) -> DataFrame:
     """What monitoring has to remember: (feature, edges, reference_mean, reference_counts, reference_rows)."""
-    edges = psi_bin_edges(reference, features, bins)
+    edges = saved(psi_bin_edges(reference, features, bins))
     profile = bin_profile(reference, edges, [], features, bins)
-    return edges.join(F.broadcast(profile), "feature").select(
+    frozen = edges.join(F.broadcast(profile), "feature").select(
         "feature",
         "edges",
         F.col("mean").alias("reference_mean"),
         F.col("counts").alias("reference_counts"),
         F.col("n").alias("reference_rows"),
     )
+    return saved(frozen)
 
 
 def psi_value(bins: int = BINS) -> Column:

@@ -15,14 +15,14 @@ from kerbline.sources.fixture import traffic_raw
 _done: set[str] = set()
 
 
-def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
+def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
     tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
     return f"{shared_folder(spark)}/{tag}/{name}"
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table."""
-    path = _path(spark, sf_dir, "traffic")
+    path = path_of(spark, sf_dir, "traffic")
     if path not in _done:
         clean(traffic_raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
         _done.add(path)
@@ -31,7 +31,7 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with the source category beside its flags, and ``weather`` as its alias."""
-    path = _path(spark, sf_dir, "features")
+    path = path_of(spark, sf_dir, "features")
     if path not in _done:
         table = engineer(traffic(spark, sf_dir), keep_source=True)
         table.write.mode("overwrite").parquet(path)

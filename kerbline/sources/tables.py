@@ -19,7 +19,10 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def csv_scan_raw(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Text landing of the raw CSV: every column a string, unreadable lines kept in ``_corrupt``."""
+    """Text landing of the raw CSV: every column a string, unreadable lines kept in ``_corrupt``.
+
+    A blank cell is a missing value, quoted or not.
+    """
     columns = columns or RAW_COLUMNS
     schema = text_schema(columns).add(CORRUPT, T.StringType())
     try:
@@ -56,7 +59,8 @@ def register(df: DataFrame, name: str = "traffic") -> str:
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", '""')
+        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
