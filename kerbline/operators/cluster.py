@@ -98,7 +98,7 @@ def silhouette(df: DataFrame, label: str, vector: str, keys: list[str], sample_r
     return rows.agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("rows"))
 
 
-def best_of_restarts(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = 42, parallelism: int = 4) -> KMeansModel:
+def best_of_restarts(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = 42, parallelism: int = 8) -> KMeansModel:
     """The fit with the lowest cost among ``restarts`` seeds; fits run concurrently."""
 
     def fit(offset: int) -> KMeansModel:

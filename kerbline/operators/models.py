@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.features import adverse_weather_flag, cyclical_encode, model_columns, proxy_risk_label
 from kerbline.operators.splits import chronological_cut
+from kerbline.shared import shared_folder
 
 SEED = 42
 FOREST_MEMORY_MB = 1024
+SMALL_TRAIN_ROWS = 1_000_000
 
 
 def training_table(features: DataFrame, keys: list[str], target: str = "traffic_volume") -> DataFrame:
@@ -39,7 +41,14 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     return df.join(F.broadcast(weights), F.col(label) == F.col("_c")).drop("_c")
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """A small table sits in few files; give every core a share. Large tables keep their partitions."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.count() < SMALL_TRAIN_ROWS else train
+
+
 def _fit(train: DataFrame, stages: list) -> PipelineModel:
+    shared_folder(train.sparkSession)  # tree node ids are checkpointed there
     return Pipeline(stages=stages).fit(train)
 
 
@@ -60,12 +69,12 @@ def logistic_classifier(train: DataFrame, label: str = "risk_label") -> Pipeline
 
 def forest_classifier(train: DataFrame, label: str = "risk_label", trees: int = 200, depth: int = 12) -> PipelineModel:
     return _fit(
-        balanced_weights(train, label),
+        balanced_weights(spread(train), label),
         [
             assembler(),
             RandomForestClassifier(
                 labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=2,
-                maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED,
+                maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
     )
@@ -87,12 +96,12 @@ def forest_regressor(
     train: DataFrame, target: str = "traffic_volume", trees: int = 200, depth: int = 18, bins: int = 256
 ) -> PipelineModel:
     return _fit(
-        train,
+        spread(train),
         [
             assembler(),
             RandomForestRegressor(
                 labelCol=target, numTrees=trees, maxDepth=depth, minInstancesPerNode=2, featureSubsetStrategy="all",
-                maxBins=bins, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED,
+                maxBins=bins, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
     )
@@ -105,12 +114,12 @@ def boosted_regressor(
     order = order or ["date_time"]
     marked = train.withColumn("validation", ~chronological_cut(train, order, 0.8))
     return _fit(
-        marked,
+        spread(marked),
         [
             assembler(),
             GBTRegressor(
                 labelCol=target, maxIter=rounds, maxDepth=6, validationIndicatorCol="validation",
-                stepSize=0.2, maxBins=64, maxMemoryInMB=FOREST_MEMORY_MB, seed=SEED,
+                stepSize=0.2, maxBins=64, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
     )

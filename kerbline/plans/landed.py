@@ -12,7 +12,7 @@ from kerbline.operators.features import engineer
 from kerbline.shared import shared_folder
 from kerbline.sources.fixture import traffic_raw
 
-_done: set[str] = set()
+done: set[str] = set()
 
 
 def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -23,17 +23,17 @@ def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table."""
     path = path_of(spark, sf_dir, "traffic")
-    if path not in _done:
+    if path not in done:
         clean(traffic_raw(spark, sf_dir)).write.mode("overwrite").parquet(path)
-        _done.add(path)
+        done.add(path)
     return spark.read.parquet(path)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with the source category beside its flags, and ``weather`` as its alias."""
     path = path_of(spark, sf_dir, "features")
-    if path not in _done:
+    if path not in done:
         table = engineer(traffic(spark, sf_dir), keep_source=True)
         table.write.mode("overwrite").parquet(path)
-        _done.add(path)
+        done.add(path)
     return spark.read.parquet(path).withColumn("weather", F.col("weather_main"))

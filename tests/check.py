@@ -74,7 +74,7 @@ def main():
                 problem = compare(spark, connection, name, query, oracles[name], sf_dir)
             else:
                 df = query(spark, sf_dir)
-                df.show(30, False)
+                df.show(8, False)
                 problem = None
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
