@@ -555,7 +555,7 @@ newest AS (SELECT * FROM runs WHERE model_version IS NOT NULL
 ORACLES["latest_per_key"] = RUNS + "SELECT model_version AS key, run_id, run_name, start_time FROM newest"
 ORACLES["experiment_runs"] = RUNS + (
     "SELECT run_id, run_name, status, start_time, solution_version, model_version, candidate_status, data_version, "
-    f"model_type, split_method, {r('mae', 'mae')}, {r('r2', 'r2')} FROM runs"
+    f"model_type, split_method, {r('mae', 'mae', 9)}, {r('r2', 'r2', 9)} FROM runs"
 )
 ORACLES["run_comparison"] = RUNS + (
     "SELECT solution_version AS Solution_Version, model_version AS Model_Version, candidate_status AS Candidate_Status, "

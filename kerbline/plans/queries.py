@@ -947,7 +947,8 @@ def experiment_runs(spark, sf_dir):
             *[F.col("tags")[t].alias(t) for t in tags],
             *[F.col("params")[p].alias(p) for p in ["model_type", "split_method"]],
             *[F.col("metrics")[m].alias(m) for m in ["mae", "r2"]],
-        )
+        ),
+        9,
     )
 
 
