@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that Unicode counts as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def strip(column: str) -> Column:
     """Remove leading and trailing whitespace of any Unicode kind."""
-    return F.regexp_replace(F.col(column), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.col(column), F.lit(WHITESPACE))
 
 
 def title(column: str) -> Column:

@@ -113,11 +113,13 @@ def impute_by_group_median(
         *[F.when(~F.coalesce(r.is_fault(F.col(r.column)), F.lit(False)), F.col(r.column)).alias(r.column) for r in rules],
     ).select("g.level", *[r.column for r in rules])
     medians = exact_quantiles(valid, [r.column for r in rules], [0.5], ["level"], bounded_groups)
+    # The flag is an aggregate so that both uses below share one computation of the medians.
     wide = medians.groupBy("level").agg(
+        F.bool_and(F.col("level").isNull()).alias("is_overall"),
         *[F.max(F.when(F.col("feature") == r.column, F.col("q")[0])).alias(f"_m_{r.column}") for r in rules]
     )
-    overall = wide.where("level is null").select(*[F.col(f"_m_{r.column}").alias(f"_o_{r.column}") for r in rules])
-    groups = wide.where("level is not null")
+    overall = wide.where("is_overall").select(*[F.col(f"_m_{r.column}").alias(f"_o_{r.column}") for r in rules])
+    groups = wide.where("NOT is_overall").drop("is_overall")
     groups = F.broadcast(groups) if bounded_groups else sized(groups)
     repaired = flagged.join(groups, flagged["_group"] == groups["level"], "left").join(
         F.broadcast(overall), F.lit(True), "left"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,23 +41,22 @@ def psi_bin_edges(reference: DataFrame, features: list[str], bins: int = BINS) -
     return quantiles.select("feature", F.when(F.size("u") < 3, even).otherwise(F.col("u")).alias("edges"))
 
 
-def bin_of(value: Column, edges: Column, bins: int = BINS) -> Column:
-    """1 + number of interior edges at or below the value; the outer edges are open."""
-    inner = [
-        F.coalesce((F.get(edges, F.lit(i)) <= value) & (F.size(edges) > i + 1), F.lit(False)).cast("int")
-        for i in range(1, bins)
-    ]
-    return reduce(Column.__add__, inner, F.lit(1))
+def bin_of(bins: int = BINS) -> Column:
+    """Bin of ``v`` in ``edges``: 1 + interior edges at or below it; the outer edges are open."""
+    steps = [f"CASE WHEN size(edges) > {i + 1} AND get(edges, {i}) <= v THEN 1 ELSE 0 END" for i in range(1, bins)]
+    return F.expr(" + ".join(["1", *steps]))
+
+
+def bin_counts(bins: int = BINS) -> Column:
+    """Rows per bin as an array aggregate."""
+    return F.expr(f"array({', '.join(f'count_if(bin = {i})' for i in range(1, bins + 1))})")
 
 
 def bin_profile(df: DataFrame, edges: DataFrame, by: list[str], features: list[str], bins: int = BINS) -> DataFrame:
-    """(by..., feature, n, mean, counts): rows per bin as one array; the edge table has one row per feature."""
-    rows = long_form(df, features, by).join(F.broadcast(edges), "feature")
-    placed = rows.withColumn("bin", bin_of(F.col("v"), F.col("edges"), bins))
+    """(by..., feature, n, mean, counts); the edge table has one row per feature."""
+    placed = long_form(df, features, by).join(F.broadcast(edges), "feature").withColumn("bin", bin_of(bins))
     return placed.groupBy(*by, "feature").agg(
-        F.count("v").alias("n"),
-        F.avg("v").alias("mean"),
-        F.array(*[F.count_if(F.col("bin") == i) for i in range(1, bins + 1)]).alias("counts"),
+        F.count("v").alias("n"), F.avg("v").alias("mean"), bin_counts(bins).alias("counts")
     )
 
 
@@ -77,18 +74,12 @@ def reference_profile(reference: DataFrame, features: list[str], bins: int = BIN
     return saved(frozen)
 
 
-def psi_value(bins: int = BINS) -> Column:
-    """Index from ``counts``/``n`` against ``reference_counts``/``reference_rows`` over existing bins."""
-
-    def share(counts: str, rows: str, i: int) -> Column:
-        part = F.get(F.col(counts), F.lit(i)).cast("double") / F.col(rows).cast("double")
-        return F.when(part == 0, F.lit(EMPTY_SHARE)).otherwise(part)
-
-    terms = []
-    for i in range(bins):
-        c, r = share("counts", "n", i), share("reference_counts", "reference_rows", i)
-        terms.append(F.when(F.size("edges") - 1 > i, (c - r) * F.ln(c / r)).otherwise(F.lit(0.0)))
-    return reduce(Column.__add__, terms)
+def psi_value() -> Column:
+    """Index from ``counts``/``n`` against ``reference_counts``/``reference_rows`` over the existing bins."""
+    current = f"IF(counts[i] = 0, {EMPTY_SHARE}D, counts[i] / n)"
+    before = f"IF(reference_counts[i] = 0, {EMPTY_SHARE}D, reference_counts[i] / reference_rows)"
+    terms = f"transform(sequence(0, size(edges) - 2), i -> ({current} - {before}) * ln({current} / {before}))"
+    return F.expr(f"aggregate({terms}, 0D, (total, term) -> total + term)")
 
 
 def psi_against(frozen: DataFrame, current: DataFrame, by: list[str], features: list[str], bins: int = BINS) -> DataFrame:
@@ -100,7 +91,7 @@ def psi_against(frozen: DataFrame, current: DataFrame, by: list[str], features:
         "reference_mean",
         F.col("mean").alias("current_mean"),
         F.col("n").alias("current_rows"),
-        psi_value(bins).alias("psi"),
+        psi_value().alias("psi"),
     )
 
 

@@ -47,9 +47,14 @@ def spread(train: DataFrame) -> DataFrame:
     return train.repartition(cores) if train.count() < SMALL_TRAIN_ROWS else train
 
 
-def _fit(train: DataFrame, stages: list) -> PipelineModel:
+def _fit(train: DataFrame, stages: list, columns: list[str]) -> PipelineModel:
+    """Fit on the needed columns, held for the several passes every learner makes."""
     shared_folder(train.sparkSession)  # tree node ids are checkpointed there
-    return Pipeline(stages=stages).fit(train)
+    held = train.select(*model_columns(), *columns).persist()
+    try:
+        return Pipeline(stages=stages).fit(held)
+    finally:
+        held.unpersist()
 
 
 def logistic_classifier(train: DataFrame, label: str = "risk_label") -> PipelineModel:
@@ -64,6 +69,7 @@ def logistic_classifier(train: DataFrame, label: str = "risk_label") -> Pipeline
                 labelCol=label, weightCol="weight", maxIter=1000, regParam=1.0 / max(rows, 1), standardization=False
             ),
         ],
+        [label, "weight"],
     )
 
 
@@ -77,6 +83,7 @@ def forest_classifier(train: DataFrame, label: str = "risk_label", trees: int =
                 maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
+        [label, "weight"],
     )
 
 
@@ -89,6 +96,7 @@ def linear_regressor(train: DataFrame, target: str = "traffic_volume") -> Pipeli
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
             LinearRegression(labelCol=target, solver="normal", regParam=1e-6),
         ],
+        [target],
     )
 
 
@@ -104,6 +112,7 @@ def forest_regressor(
                 maxBins=bins, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
+        [target],
     )
 
 
@@ -122,6 +131,7 @@ def boosted_regressor(
                 stepSize=0.2, maxBins=64, maxMemoryInMB=FOREST_MEMORY_MB, cacheNodeIds=True, seed=SEED,
             ),
         ],
+        [target, "validation"],
     )
 
 

@@ -22,6 +22,8 @@ def local_session(cpus: int = 8, memory: str = "12g", app: str = "kerbline") ->
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
+        # Small test tables would otherwise be merged into one partition.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

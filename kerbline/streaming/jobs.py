@@ -63,13 +63,11 @@ def drift_windows(
     if rows.isStreaming:
         timed = timed.withWatermark("_at", delay)
     long = long_form(timed, features, ["_at"])
-    placed = long.join(F.broadcast(frozen.select("feature", "edges")), "feature").withColumn(
-        "bin", drift.bin_of(F.col("v"), F.col("edges"))
-    )
+    placed = long.join(F.broadcast(frozen.select("feature", "edges")), "feature").withColumn("bin", drift.bin_of())
     profile = placed.groupBy(F.window("_at", length).alias("w"), "feature").agg(
         F.count("v").alias("n"),
         F.avg("v").alias("mean"),
-        F.array(*[F.count_if(F.col("bin") == i) for i in range(1, drift.BINS + 1)]).alias("counts"),
+        drift.bin_counts().alias("counts"),
     )
     scored = profile.join(F.broadcast(frozen), "feature").withColumn("psi", drift.psi_value())
     return scored.select(
