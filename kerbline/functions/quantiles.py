@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.shared import sized
+from kerbline.shared import attach, sized
 
 SAMPLE_ROWS = 20_000_000
 ACCURACY = 5_000
@@ -52,7 +52,7 @@ def exact_quantiles(
     rows = long_form(df, values, by)
     size = len(probabilities)
     total = df.agg(F.count(F.lit(1)).alias("total"))
-    sampled = rows.crossJoin(F.broadcast(total)).where(F.rand(11) * F.col("total") < SAMPLE_ROWS)
+    sampled = attach(rows, total).where(F.rand(11) * F.col("total") < SAMPLE_ROWS)
     steps = ", ".join(f"{float(p)!r}D" for p in probabilities)
     ends = ", ".join(f"{min(1.0, max(0.0, p + sign * w))!r}D" for p in probabilities for sign in (-1, 1) for w in WIDTHS)
     sketch = sampled.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(

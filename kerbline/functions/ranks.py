@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.errors import DataError
+from kerbline.shared import attach
 
 HASH_SPAN = 16**13
 ACCURACY = 10_000
@@ -88,11 +89,7 @@ def running_totals(df: DataFrame, order: str, sums: list[str], descending: bool
     """
     grid = [i / slices for i in range(1, slices)]
     edges = df.agg(F.percentile_approx(order, grid, 2000).alias("edges"))
-    cut = (
-        df.crossJoin(F.broadcast(edges))
-        .withColumn("slice", F.size(F.filter("edges", lambda e: e < F.col(order))))
-        .drop("edges")
-    )
+    cut = attach(df, edges).withColumn("slice", F.size(F.filter("edges", lambda e: e < F.col(order)))).drop("edges")
     direction = F.col("slice").desc() if descending else F.col("slice").asc()
     ahead = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy("slice").agg(*[F.sum(c).alias(f"t_{c}") for c in sums])

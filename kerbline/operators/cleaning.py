@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 from kerbline.functions import text
 from kerbline.functions.quantiles import exact_quantiles
-from kerbline.shared import sized
+from kerbline.shared import attach, sized
 
 # Fixed values.
 NO_HOLIDAY = "No Holiday"
@@ -121,9 +121,7 @@ def impute_by_group_median(
     overall = wide.where("is_overall").select(*[F.col(f"_m_{r.column}").alias(f"_o_{r.column}") for r in rules])
     groups = wide.where("NOT is_overall").drop("is_overall")
     groups = F.broadcast(groups) if bounded_groups else sized(groups)
-    repaired = flagged.join(groups, flagged["_group"] == groups["level"], "left").join(
-        F.broadcast(overall), F.lit(True), "left"
-    )
+    repaired = attach(flagged.join(groups, flagged["_group"] == groups["level"], "left"), overall)
     fixes = {
         r.column: F.when(
             r.is_fault(F.col(r.column)), F.coalesce(F.col(f"_m_{r.column}"), F.col(f"_o_{r.column}"))

@@ -17,6 +17,7 @@ from kerbline.operators.describe import share_of_total
 from kerbline.operators.features import adverse_weather_flag, zscore
 from kerbline.operators.quality import median_fill
 from kerbline.operators.splits import fixed_size_sample
+from kerbline.shared import attach
 
 # Fixed values.
 CLUSTER_FEATURES = [
@@ -173,5 +174,5 @@ def cluster_naming(profiles: DataFrame) -> DataFrame:
     overall = profiles.agg(
         (F.sum(F.col("average_traffic") * F.col("records")) / F.sum("records")).alias("overall_traffic")
     )
-    named = profiles.crossJoin(F.broadcast(overall)).withColumn("cluster_name", cluster_name())
+    named = attach(profiles, overall).withColumn("cluster_name", cluster_name())
     return named.drop("overall_traffic")

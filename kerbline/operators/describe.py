@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 from kerbline.functions import calendar, text
 from kerbline.functions.quantiles import exact_quantiles
+from kerbline.shared import attach
 
 
 def annual_totals(df: DataFrame, first: int = 2012, last: int = 2017, ts: str = "date_time", measure: str = "traffic_volume") -> DataFrame:
@@ -180,9 +181,9 @@ def label_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def share_of_total(groups: DataFrame, count: str = "records", name: str = "record_percentage") -> DataFrame:
-    """Percentage of the grand total; the total is one broadcast row, not a global window."""
+    """Percentage of the grand total; the total is one row, not a global window."""
     total = groups.agg(F.sum(count).cast("double").alias("_total"))
-    return groups.crossJoin(F.broadcast(total)).withColumn(name, F.col(count) / F.col("_total") * 100).drop("_total")
+    return attach(groups, total).withColumn(name, F.col(count) / F.col("_total") * 100).drop("_total")
 
 
 def check_count(n: int, low: int = 1, high: int = 20) -> int:

@@ -10,6 +10,7 @@ from kerbline.functions import calendar
 from kerbline.functions.quantiles import exact_quantiles
 from kerbline.operators.cleaning import NO_HOLIDAY
 from kerbline.operators.quality import WEATHER
+from kerbline.shared import attach
 
 # Fixed values.
 PREFIX = "weather_main_"
@@ -78,7 +79,7 @@ def quartile_category(df: DataFrame, measure: str = "traffic_volume", name: str
     )
     problem = F.raise_error(F.lit(f"unable to create four distinct {measure} quartiles")).cast("string")
     label = F.when(distinct, quartile_label(F.col(measure), [F.col("q1"), F.col("q2"), F.col("q3")])).otherwise(problem)
-    return df.crossJoin(F.broadcast(edges)).withColumn(name, label).select(*df.columns, name)
+    return attach(df, edges).withColumn(name, label).select(*df.columns, name)
 
 
 def scale_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,7 +95,7 @@ def zscore(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or ["temp", "traffic_volume"]
     stats = scale_statistics(df, columns)
     scaled = {f"{c}_scaled": (F.col(c) - F.col(f"mean_{c}")) / F.col(f"scale_{c}") for c in columns}
-    return df.crossJoin(F.broadcast(stats)).withColumns(scaled).select(*df.columns, *scaled)
+    return attach(df, stats).withColumns(scaled).select(*df.columns, *scaled)
 
 
 def vocabulary(df: DataFrame, column: str = "weather_main", limit: int = MAX_CATEGORIES) -> list[str]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.features import adverse_weather_flag, cyclical_encode, model_columns, proxy_risk_label
 from kerbline.operators.splits import chronological_cut
-from kerbline.shared import shared_folder
+from kerbline.shared import attach, shared_folder
 
 SEED = 42
 FOREST_MEMORY_MB = 1024
@@ -35,7 +35,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     """Weight n / (classes * n_class) on every row."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("_n"))
     totals = counts.agg(F.sum("_n").alias("_t"), F.count(F.lit(1)).alias("_k"))
-    weights = counts.crossJoin(F.broadcast(totals)).select(
+    weights = attach(counts, totals).select(
         F.col(label).alias("_c"), (F.col("_t") / (F.col("_k") * F.col("_n"))).alias(name)
     )
     return df.join(F.broadcast(weights), F.col(label) == F.col("_c")).drop("_c")

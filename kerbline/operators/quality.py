@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 from kerbline.functions import text
 from kerbline.functions.quantiles import exact_quantiles
+from kerbline.shared import attach
 
 # Fixed values.
 WEATHER = [
@@ -164,5 +165,5 @@ def median_fill(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fill nulls with the exact median of the column."""
     medians = exact_quantiles(df, columns, [0.5])
     wide = medians.agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[0])).alias(f"_m_{c}") for c in columns])
-    filled = df.crossJoin(F.broadcast(wide))
+    filled = attach(df, wide)
     return filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in columns}).select(*df.columns)

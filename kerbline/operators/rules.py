@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions import calendar
+from kerbline.shared import attach
 
 # Fixed values.
 MIN_SUPPORT = 0.02
@@ -50,7 +51,7 @@ def frequent_itemsets(df: DataFrame, columns: list[str] | None = None, min_suppo
     for i, c in enumerate(columns):
         rolled_up = F.expr(f"(shiftright(gid, {size - 1 - i}) & 1) = 1")
         complete = complete & (rolled_up | F.col(c).isNotNull())
-    kept = cube.where((F.col("gid") != 2**size - 1) & complete).crossJoin(F.broadcast(total))
+    kept = attach(cube.where((F.col("gid") != 2**size - 1) & complete), total)
     members = F.array_sort(F.array_compact(F.array(*columns)))
     return kept.select(
         F.concat_ws(", ", members).alias("itemset"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions.quantiles import exact_quantiles
+from kerbline.shared import attach
 
 # Fixed values.
 CONGESTED_VOLUME = 5500
@@ -29,7 +30,7 @@ def describe_measure(df: DataFrame, measure: str = "traffic_volume") -> DataFram
         (F.max(measure) - F.min(measure)).alias("value_range"),
     )
     median = exact_quantiles(df, [measure], [0.5]).select(F.col("q")[0].alias("median"))
-    return moments.crossJoin(F.broadcast(median))
+    return attach(moments, median)
 
 
 def skewness_adjusted(df: DataFrame, measure: str = "traffic_volume") -> DataFrame:
@@ -95,7 +96,7 @@ def histogram(df: DataFrame, measure: str = "traffic_volume", bins: int = HISTOG
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     ).where("lo is not null")
     value = F.col(measure).cast("double")
-    placed = df.select(measure).where(value.isNotNull()).crossJoin(F.broadcast(span))
+    placed = attach(df.select(measure).where(value.isNotNull()), span)
     bin_of = F.least(F.width_bucket(value, F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(bins))
     counts = placed.groupBy(bin_of.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
@@ -111,7 +112,7 @@ def histogram(df: DataFrame, measure: str = "traffic_volume", bins: int = HISTOG
 def histogram_mode_above_median(df: DataFrame, measure: str = "traffic_volume", bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Edges of the fullest bin that starts above the median; the first bin when there is none."""
     median = exact_quantiles(df, [measure], [0.5]).select(F.col("q")[0].alias("median"))
-    upper = histogram(df, measure, bins).crossJoin(F.broadcast(median))
+    upper = attach(histogram(df, measure, bins), median)
     weight = F.when(F.col("left_edge") > F.col("median"), F.col("records")).otherwise(F.lit(0))
     order = F.struct(weight.alias("w"), (-F.col("bin")).alias("b"))
     return upper.agg(
@@ -125,7 +126,7 @@ def histogram_mode_above_median(df: DataFrame, measure: str = "traffic_volume",
 def distribution_shape(df: DataFrame, measure: str = "traffic_volume", bins: int = HISTOGRAM_BINS) -> DataFrame:
     mode = histogram_mode_above_median(df, measure, bins)
     moments = df.agg(F.avg(measure).alias("mean"), skew_adjusted(measure).alias("skewness"))
-    return mode.crossJoin(F.broadcast(moments))
+    return attach(mode, moments)
 
 
 def cutoff_summary(df: DataFrame, measure: str = "traffic_volume", scaled: list[str] | None = None) -> DataFrame:
@@ -135,6 +136,6 @@ def cutoff_summary(df: DataFrame, measure: str = "traffic_volume", scaled: list[
     scaled = scaled or ["temp", "traffic_volume"]
     edges = quartile_edges(df, measure).select("q1", "q2", "q3")
     stats = scale_statistics(df, scaled)
-    wide = edges.crossJoin(F.broadcast(stats))
+    wide = attach(edges, stats)
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in wide.columns])
     return wide.select(F.inline(pairs))

@@ -13,7 +13,7 @@ from kerbline.operators import (
     quality, recommend, rules, runs, score, splits, stats,
 )
 from kerbline.plans import landed
-from kerbline.shared import fresh_path, saved
+from kerbline.shared import attach, fresh_path, saved
 from kerbline.sources import tables
 from kerbline.sources.fixture import KEY, RAW_COLUMNS, derive_raw, read, traffic_raw, traffic_text
 from kerbline.streaming import jobs
@@ -626,7 +626,7 @@ def _classifier(spark, sf_dir, fit, name):
     scored = saved(models.predict_batch(model, test).select("risk_label", "prediction", "score"))
     metrics = evaluate.classification_metrics(scored, "risk_label", "prediction")
     auc = evaluate.roc_auc(scored, "risk_label", "score")
-    return metrics.crossJoin(F.broadcast(auc)).withColumn("model", F.lit(name))
+    return attach(metrics, auc).withColumn("model", F.lit(name))
 
 
 def _regressor(spark, sf_dir, fit, name, split="random"):
@@ -680,7 +680,7 @@ def _document_scores(spark, sf_dir) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "n_chars")
     longest = documents.agg(F.max("n_chars").cast("double").alias("longest"))
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = labels.join(documents, "doc_id").crossJoin(F.broadcast(longest))
+    joined = attach(labels.join(documents, "doc_id"), longest)
     scored = joined.select("doc_id", "quality", (F.col("n_chars") / F.col("longest")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.05).cast("int"))
 
@@ -691,11 +691,8 @@ def _mean_predictions(spark, sf_dir) -> DataFrame:
     hours = f.groupBy("is_weekend", "hour").agg(F.avg("traffic_volume").alias("by_hour"))
     days = f.groupBy("is_weekend").agg(F.avg("traffic_volume").alias("by_day"))
     overall = f.agg(F.avg("traffic_volume").alias("overall"))
-    return (
-        f.join(F.broadcast(hours), ["is_weekend", "hour"])
-        .join(F.broadcast(days), "is_weekend")
-        .crossJoin(F.broadcast(overall))
-    )
+    grouped = f.join(F.broadcast(hours), ["is_weekend", "hour"]).join(F.broadcast(days), "is_weekend")
+    return attach(grouped, overall)
 
 
 @query

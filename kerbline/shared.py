@@ -38,6 +38,12 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def attach(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Put the columns of a one-row aggregate on every row, as a scalar subquery; null if it is empty."""
+    cell = row.select(F.struct(*row.columns)).scalar()
+    return df.withColumn("_row", cell).select(*df.columns, *[F.col("_row")[c].alias(c) for c in row.columns])
+
+
 def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast an aggregate only after counting it; larger ones are left to a shuffle join."""
     small = saved(small)
