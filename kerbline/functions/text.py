@@ -14,8 +14,13 @@ NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def strip(column: str) -> Column:
-    """Remove leading and trailing whitespace of any Unicode kind."""
-    return F.btrim(F.col(column), F.lit(WHITESPACE))
+    """Remove leading and trailing whitespace of any Unicode kind.
+
+    Most values start and end with a visible ASCII character and skip the character-set trim.
+    """
+    value = F.col(column)
+    clean = F.ascii(value).between(33, 126) & F.ascii(F.substring(value, -1, 1)).between(33, 126)
+    return F.when(clean, value).otherwise(F.btrim(value, F.lit(WHITESPACE)))
 
 
 def title(column: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,13 +61,13 @@ def parse_timestamp(df: DataFrame, column: str = "date_time") -> DataFrame:
 
 
 def typed(df: DataFrame, column: str, target: str) -> Column:
-    if dict(df.dtypes)[column] == "string":
+    source = dict(df.dtypes)[column]
+    if source == "string":
         value = text.number(column)
+    elif source in ("float", "double"):
+        value = F.nanvl(F.col(column), F.lit(None).cast("double"))
     else:
-        value = F.col(column).cast("double")
-        value = F.when(~F.isnan(value), value)
-    if target == "double":
-        return value
+        value = F.col(column)
     return value.try_cast(target)
 
 
@@ -76,7 +77,8 @@ def parse_numeric(df: DataFrame, columns: dict[str, str] | None = None) -> DataF
 
 
 def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return df.dropna(subset=columns or REQUIRED_VALUES)
+    """Rows with a value in every required column; unreadable numbers and NaN are null by now."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns or REQUIRED_VALUES]))
 
 
 def apply_date_policy(df: DataFrame, policy: str = "drop", column: str = "date_time") -> DataFrame:
@@ -107,13 +109,14 @@ def impute_by_group_median(
     come from one quantile query over the unflagged values.
     """
     columns = df.columns
-    flagged = df.withColumn("_group", group.cast("string"))
+    flagged = df.withColumn("_group", F.coalesce(group.cast("string"), F.lit("")))
     valid = flagged.select(
         F.explode(F.array(F.struct(F.col("_group").alias("level")), F.struct(F.lit(None).cast("string").alias("level")))).alias("g"),
         *[F.when(~F.coalesce(r.is_fault(F.col(r.column)), F.lit(False)), F.col(r.column)).alias(r.column) for r in rules],
     ).select("g.level", *[r.column for r in rules])
     medians = exact_quantiles(valid, [r.column for r in rules], [0.5], ["level"], bounded_groups)
-    # The flag is an aggregate so that both uses below share one computation of the medians.
+    # The flag is an aggregate, and the join below null-safe, so that no filter is pushed into only
+    # one use of the medians: both then share one computation.
     wide = medians.groupBy("level").agg(
         F.bool_and(F.col("level").isNull()).alias("is_overall"),
         *[F.max(F.when(F.col("feature") == r.column, F.col("q")[0])).alias(f"_m_{r.column}") for r in rules]
@@ -121,7 +124,7 @@ def impute_by_group_median(
     overall = wide.where("is_overall").select(*[F.col(f"_m_{r.column}").alias(f"_o_{r.column}") for r in rules])
     groups = wide.where("NOT is_overall").drop("is_overall")
     groups = F.broadcast(groups) if bounded_groups else sized(groups)
-    repaired = attach(flagged.join(groups, flagged["_group"] == groups["level"], "left"), overall)
+    repaired = attach(flagged.join(groups, flagged["_group"].eqNullSafe(groups["level"]), "left"), overall)
     fixes = {
         r.column: F.when(
             r.is_fault(F.col(r.column)), F.coalesce(F.col(f"_m_{r.column}"), F.col(f"_o_{r.column}"))

@@ -48,7 +48,11 @@ def derive_raw(events: DataFrame) -> DataFrame:
         F.array(F.lit("one"), F.when(event % 500 == 1, "copy"), F.when(event % 9 == 4, "haze")),
         lambda x: x.isNotNull(),
     )
-    rows = timed.withColumn("w", weather).withColumn("kind", F.explode(copies))
+    # The values travel inside the exploded entries, so later filters are not copied below the explode.
+    values = ["user_id", "value", "k", "dt", "h", "m", "d", "wd", "w"]
+    rows = timed.withColumn("w", weather).select(
+        event, F.inline(F.transform(copies, lambda kind: F.struct(kind.alias("kind"), *values)))
+    )
     haze = F.col("kind") == "haze"
     return rows.select(
         event,
