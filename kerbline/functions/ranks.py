@@ -30,22 +30,29 @@ def _kth(df: DataFrame, column: str, k: int, total: int):
     dtype = dict(df.dtypes)[column]
     col = F.col(column)
     if dtype == "string":
-        return _pick(df.groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows")), k)
+        counts = df.where(col.isNotNull()).groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+        return _pick(counts, k) or _no_cut(column)
     share = min(1.0, SAMPLE_ROWS / total)
     sample = df.select(column) if share == 1 else df.select(column).sample(share, seed=11)
     margin = 5 / ACCURACY + (0 if share == 1 else 4 / SAMPLE_ROWS**0.5)
     while True:
         near = [max(0.0, (k / total) - margin), min(1.0, (k / total) + margin)]
         low, high = sample.agg(F.percentile_approx(col, near, ACCURACY).alias("b")).first()["b"]
-        cell = F.when(col < literal(low, dtype), F.lit(None)).otherwise(col)
-        within = df if margin >= 1 else df.where(col <= literal(high, dtype))
-        counts = within.groupBy((col if margin >= 1 else cell).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-        found = _pick(counts, k)
-        if found and (found[0] is not None or margin >= 1):
+        whole = margin >= 1
+        cell = col if whole else F.when(col >= literal(low, dtype), col)
+        within = df.where(col.isNotNull() if whole else col <= literal(high, dtype))
+        found = _pick(within.groupBy(cell.alias("value")).agg(F.count(F.lit(1)).alias("rows")), k)
+        if found and found[0] is not None:
             return found
+        if whole:
+            return _no_cut(column)
         margin *= 20
 
 
+def _no_cut(column: str):
+    raise DataError(f"too few rows have a value in {column}")
+
+
 def _pick(counts: DataFrame, k: int):
     running = Window.orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     row = (
@@ -61,7 +68,8 @@ def first_rows(df: DataFrame, order: list[str], k: int, total: int | None = None
     """A predicate true on exactly the first ``k`` rows in the given order.
 
     The cut is found column by column from counts alone, so no row is moved, and the result is a
-    plain comparison that reaches the Parquet reader. The order columns must identify a row.
+    plain comparison that reaches the Parquet reader. The order columns must identify a row; rows
+    with a null in them come last and cannot be part of the first rows.
     """
     total = df.count() if total is None else total
     if k <= 0:

@@ -173,4 +173,5 @@ def summary_lines(results: DataFrame, scenario_order: list[str], feature_order:
     heads = results.groupBy("Scenario").agg(F.first("Overall_Status").alias("status"))
     head = heads.select((at + 1).alias("line_no"), F.format_string("%s: %s", F.col("Scenario"), F.col("status")).alias("line"))
     blank = heads.select((at + block).alias("line_no"), F.lit("").alias("line"))
-    return head.unionByName(body).unionByName(blank)
+    lines = head.unionByName(body).unionByName(blank)
+    return lines.withColumn("line_no", F.col("line_no").cast("int"))

@@ -34,6 +34,13 @@ def test_first_rows_with_tiny_brackets(rows, monkeypatch):
     assert members(rows, ranks.first_rows(rows, ["t", "k"], 1500)) == expected
 
 
+def test_null_order_values_come_last(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 4), (4, None)], "k int, t int")
+    assert members(df, ranks.first_rows(df, ["t", "k"], 2)) == {1, 3}
+    with pytest.raises(DataError, match="too few rows"):
+        ranks.first_rows(df, ["t", "k"], 3)
+
+
 def test_ambiguous_order_is_refused(rows):
     with pytest.raises(DataError, match="identify a row"):
         ranks.first_rows(rows, ["t"], 1100 if rows.where("t < 500").count() < 1100 else 1)
