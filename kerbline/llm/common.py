@@ -45,6 +45,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, key, rows: int) -> DataFrame:
+    """About ``rows`` rows by the hash of a key, never more: the share follows from a count, so no task sends many rows."""
+    total = df.count()
+    places = 1 << 30
+    kept = df if total <= rows else df.filter(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(places)) < int(places * rows / total))
+    return kept.orderBy(F.xxhash64(key)).limit(rows)
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the number as text, modulo n; -1 for null."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % n, F.lit(-1)).cast("int")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import crc_mod, pieces
+from kerbline.llm.common import bounded_sample, crc_mod, pieces
 
 TRAIN_ROWS = 6000
 EXCERPTS, EXCERPT_CHARS = 4, 400
@@ -80,17 +80,12 @@ def excerpts(text):
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, hold_out: int = HOLD_OUT) -> LanguageModel | None:
     """Fit on at most ``train_rows`` labelled rows with crc32(doc_id) mod ``hold_out`` not 0, chosen by id hash."""
-    sample = (
-        docs.select("doc_id", "text", "lang")
-        .filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .filter(crc_mod("doc_id", hold_out) != 0)
-        .filter(F.col("text").rlike(r"\p{L}"))
-        .select("lang", excerpts(F.col("text")).alias("text"), F.xxhash64("doc_id").alias("order"))
-        .orderBy("order", "text", "lang")
-        .limit(train_rows)
-        .collect()
+    labelled = docs.select("doc_id", "text", "lang").filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod("doc_id", hold_out) != 0)
     )
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample]) if sample else None
+    chosen = bounded_sample(labelled, F.col("doc_id"), train_rows).filter(F.col("text").rlike(r"\p{L}"))
+    sample = sorted(tuple(r) for r in chosen.select("doc_id", excerpts(F.col("text")), "lang").collect())
+    return fit([r[1] for r in sample], [r[2] for r in sample]) if sample else None
 
 
 def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:

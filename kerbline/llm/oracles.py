@@ -32,3 +32,27 @@ SELECT doc_id, size, source_size, target,
           + greatest(0, least(size, floor(target) - source_size - (ended - size))) AS BIGINT) AS taken
 FROM ended
 """
+
+ORACLES["op8_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)),
+sizes AS (
+  SELECT w.doc_id, count(s.shingle) AS n_shingles FROM words w LEFT JOIN shingles s USING (doc_id) GROUP BY w.doc_id),
+common_counts AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common_counts JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 75 * (p.n_shingles + q.n_shingles - shared)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+SELECT doc_id, CAST(any_value(n_shingles) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM sizes JOIN reached USING (doc_id) GROUP BY doc_id
+"""

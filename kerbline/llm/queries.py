@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontam, langid, mixing
+from kerbline.llm import decontam, langid, mixing, ngramjoin
 from kerbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.array_distinct(F.col("found.item_id"))).alias("item_ids"),
         F.coalesce(F.array_max(F.col("found.similarity")), F.lit(0.0)).alias("similarity"),
     )
+
+
+@query
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
