@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kerbline.shared import fresh_path
 
 #: Text handled at once inside a task, in bytes; a longer text is handled alone.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 SHINGLE_WORDS = 5
 
 _SPACE = np.zeros(256, bool)
