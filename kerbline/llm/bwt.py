@@ -16,7 +16,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = np.zeros(n, np.uint64)
     for k in range(_START):
         first = (first << np.uint64(8)) | padded[k : k + n]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     rank = _ranks(first[order], order)
     open_ = np.arange(n)
     length = _START
@@ -34,7 +34,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         after = members + length
         beyond = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
         mine = rank[members]
-        by = np.lexsort((beyond, mine))
+        by = np.argsort(mine * (n + 1) + beyond)
         members, mine, beyond = members[by], mine[by], beyond[by]
         order[open_] = members
         fresh = np.ones(len(members), bool)
@@ -90,8 +90,9 @@ def repeated(text: np.ndarray, least: int) -> np.ndarray:
         byte = before[places]
         kept = byte != SEPARATOR
         places, key = places[kept], (np.repeat(np.arange(len(low)), widths) * 256 + byte)[kept]
-        by = np.argsort(key, kind="stable")
-        key, reached = key[by], step[places[by]]
+        # Sorting the place along with the key is a stable sort of values, several times as fast as one of indices.
+        both = np.sort((key << 31) | places)
+        key, reached = both >> 31, step[both & ((1 << 31) - 1)]
         last = np.ones(len(key), bool)
         last[:-1] = key[1:] != key[:-1]
         first = np.ones(len(key), bool)

@@ -216,9 +216,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         F.sum("copies").alias("seen"), F.max("again").alias("again"), F.min(F.struct("text_key", "s")).alias("at")
     )
     contents = land(contents, "contents")
-    minimizers = contents.groupBy("v").agg(F.count("*").alias("contents"), F.sum("seen").alias("total"), F.max("again").alias("inside"))
+    minimizers = contents.groupBy("v").agg(F.count("*").alias("contents"), F.sum("seen").alias("total"), F.max("again").alias("inside"), F.min("seen").alias("fewest"))
     open_ = land(contents.join(minimizers.filter("total > 1 OR inside"), "v"), "open")
-    wanted = open_.filter("contents > 1 OR inside").select("v", "h", "n", "contents", "at.text_key", "at.s")
+    wanted = open_.filter("(contents > 1 OR inside) AND fewest = 1").select("v", "h", "n", "contents", "at.text_key", "at.s")
     found = land(segment_bytes(docs, wanted), "segment-bytes")
     crowds = wanted.filter(F.col("contents") > CROWD).select("v").distinct()
     crowds = land(crowds, "crowds")
@@ -252,7 +252,7 @@ def cut(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")}
+            out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_text", "kept_sha256")}
             for text, runs in zip(batch.column(1), batch.column(2)):
                 data, end, spans, kept = (text.as_py() or "").encode(), 0, 0, []
                 for r in runs.as_py() or ():
@@ -261,24 +261,26 @@ def cut(docs: DataFrame) -> DataFrame:
                         spans += 1
                     end = max(end, r["b"] + LEAST - 1)
                 kept = b"".join([*kept, data[end:]])
-                for name, x in zip(out, (len(data), len(data) - len(kept), spans, kept, hashlib.sha256(kept).hexdigest())):
+                for name, x in zip(out, (len(data), len(data) - len(kept), spans, kept, kept.decode(errors="ignore"), hashlib.sha256(kept).hexdigest())):
                     out[name].append(x)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(x, t) for x, t in zip(out.values(), types)]], names=["row", *out]
             )
 
     kind = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(run, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string")
+    return frame.mapInArrow(run, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated passages cut out of the text, and n_chars, if there, counted anew. Rows whose text is
-    wholly repeated stay with an empty text; null stays null."""
+def without_repeats(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """``docs`` with repeated passages cut out of the text, and n_chars, if there, counted anew. Null stays null.
+
+    A text that is repeated as a whole becomes empty; with ``drop_emptied`` rows left without a word that had any go.
+    """
     kept = cut(docs)
-    text = F.when(F.col("row.text").isNotNull(), F.expr("try_validate_utf8(CAST(kept AS STRING))"))
-    text = F.coalesce(text, F.when(F.col("row.text").isNotNull(), F.expr("replace(make_valid_utf8(CAST(kept AS STRING)), '�', '')")))
-    rows = kept.select("row", text.alias("_text"))
+    rows = kept.withColumn("_text", F.when(F.col("row.text").isNotNull(), F.col("kept_text")))
+    if drop_emptied:
+        rows = rows.filter((F.col("n_removed") == 0) | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     return rows.select(
         *[
             (F.col("_text") if c == "text" else F.length("_text").cast(t) if c == "n_chars" else F.col("row")[c]).alias(c)
