@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from kerbline.llm.spotsigs import ANCHORS
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op7_source_mix"] = r"""
@@ -56,3 +58,47 @@ reached(doc_id, other) AS (
 SELECT doc_id, CAST(any_value(n_shingles) AS BIGINT) AS n_shingles, min(other) AS component_id
 FROM sizes JOIN reached USING (doc_id) GROUP BY doc_id
 """
+
+_FINGERPRINT = r"""(
+  SELECT array_to_string(list_sort(list_distinct(list_filter(list_transform(u, lambda x, i:
+    CASE WHEN contains(x, ' ') THEN split_part(x, ' ', -2) WHEN i <= 8 THEN '^' END || ' ' ||
+    split_part(x, ' ', -1) || ' ' || coalesce(split_part(u[i + 1], ' ', -1), '') || ' ' || coalesce(split_part(u[i + 2], ' ', -1), '')),
+    lambda x: x IS NOT NULL).list_transform(lambda x: md5(x)[:8]))), ' ')
+  FROM (SELECT string_split(array_to_string(list_transform(
+    list_filter(string_split_regex(lower(TEXT), '[^\p{L}\p{N}]+'), lambda w: w <> ''),
+    lambda w: w || CASE WHEN list_contains(ANCHORS, w) THEN ' ' ELSE chr(10) END), ''), chr(10))[:-2] AS u))"""
+
+
+def _fingerprint(text: str) -> str:
+    anchors = "[" + ", ".join(f"'{w}'" for w in ANCHORS) + "]"
+    return _FINGERPRINT.replace("TEXT", text).replace("ANCHORS", anchors)
+
+
+
+
+def _likeness(a: str, b: str) -> str:
+    return f"""CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE ELSE
+  len(list_intersect(string_split({a}, ' '), string_split({b}, ' ')))::DOUBLE
+  / len(list_distinct(string_split({a}, ' ') || string_split({b}, ' '))) END"""
+
+
+ORACLES["op1_spot_signatures"] = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents),
+followed AS (
+  SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id NULLS FIRST, text),
+                     first(text) OVER (ORDER BY doc_id NULLS FIRST, text)) AS following
+  FROM texts),
+edits AS (
+  SELECT doc_id, text, length(text) AS n_chars, following,
+         substr(text, 1, length(text) - length(text) // 4) || substr(following, 1, length(text) // 4) AS edited
+  FROM followed),
+marked AS (
+  SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_fingerprint("text")} AS fingerprint,
+         {_fingerprint("edited")} AS edited_fingerprint, {_fingerprint("following")} AS next_fingerprint
+  FROM edits)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       {_likeness("fingerprint", "edited_fingerprint")} AS near_edited,
+       {_likeness("fingerprint", "next_fingerprint")} AS near_next
+FROM marked
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontam, langid, mixing, ngramjoin, suffixdedup
+from kerbline.llm import decontam, langid, mixing, ngramjoin, spotsigs, suffixdedup
 from kerbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixdedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op1_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_rows(table(spark, sf_dir, "documents"))
