@@ -118,3 +118,18 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(24 + length(replace(role_out, chr(10), '\n')) + length(text_out)) AS BIGINT) AS formatted_chars
 FROM guarded GROUP BY conv_id
 """
+
+ORACLES["op2_capture_index"] = r"""
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digests AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex,
+         max(page_id) OVER (PARTITION BY payload) AS original
+  FROM payloads)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         (CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM digests
+"""
