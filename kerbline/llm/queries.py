@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontam, langid, mixing, ngramjoin, spotsigs, suffixdedup, warc
+from kerbline.llm import chat, decontam, langid, layout, mixing, ngramjoin, quality, spotsigs, suffixdedup, warc
 from kerbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,13 @@ def op2_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.build_index(warc.write_archives(pages))
     found = warc.find(index, warc.keys_of(pages))
     return warc.read_records(found).drop("url", "payload")
+
+
+@query
+def op3_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
