@@ -15,6 +15,7 @@ from kerbline.shared import fresh_path
 
 #: Text handled at once inside a task, in bytes; a longer text is handled alone.
 PIECE_BYTES = 1 << 18
+BATCH_ROWS = 1000
 SHINGLE_WORDS = 5
 
 _SPACE = np.zeros(256, bool)
@@ -33,13 +34,22 @@ _SLOTS = np.array(
 )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most BATCH_ROWS rows, so that a worker's memory follows the texts, not 10,000 of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, so that a lost executor costs a read at most."""
     spark = df.sparkSession
+    small_batches(spark)
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
