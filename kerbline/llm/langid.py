@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.common import bounded_sample, crc_mod, pieces
 
-TRAIN_ROWS = 6000
-EXCERPTS, EXCERPT_CHARS = 4, 400
+TRAIN_ROWS = 4000
+EXCERPTS, EXCERPT_CHARS = 4, 300
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 GRAMS = (2, 3, 4)
@@ -92,7 +92,7 @@ def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text.encode(), np.uint8)
     ids = np.concatenate(list(subwords(data, np.array([0, len(data)]))))
     ids, counts = np.unique(ids[ids > 0], return_counts=True)
-    return ids, (counts / max(1, counts.sum())).astype(np.float32)
+    return ids.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
