@@ -27,7 +27,7 @@ TRAIN_ROWS = 2400
 TRAIN_CHUNKS = 4
 CHUNK, HOP = 512, 256
 EMBEDDED, WIDTH, STRIDE, FILTERS = 8, 8, 2, 32
-EPOCHS, BATCH, RATE = 8, 64, 0.004
+STEPS, BATCH, RATE = 240, 64, 0.004
 BLOCK = 1024
 HOLD_OUT, HELD_REMAINDER = 4, 2
 GOOD = 0.7
@@ -99,7 +99,7 @@ def fit(rows: list[tuple[int, bytes]], seed: int = 5) -> Model | None:
     }
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
     best, step = (np.inf, model), 0
-    for _ in range(EPOCHS):
+    for _ in range(max(1, round(STEPS * BATCH / len(fitted)))):
         mixed = rng.permutation(fitted)
         for at in range(0, len(mixed), BATCH):
             step += 1
