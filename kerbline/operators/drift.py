@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 from kerbline.functions.quantiles import exact_quantiles, long_form
 from kerbline.operators.features import shift_transform
-from kerbline.operators.splits import chronological_cut, fixed_size_sample
+from kerbline.operators.splits import chronological_cut
 from kerbline.shared import saved
 
 # Fixed values.
@@ -17,7 +17,7 @@ ALERT = 0.20
 MODERATE = 0.10
 EMPTY_SHARE = 0.0001
 BINS = 10
-SAMPLE_SIZE = 5000
+HASH_SPAN = 1 << 30
 NORMAL = "Normal simulated sample"
 SHIFTED = "Shifted alert-test sample"
 
@@ -128,13 +128,19 @@ def report(scores: DataFrame, scenario: str = "Scenario") -> DataFrame:
     return any_alert(judged, scenario)
 
 
-def reference_rows(df: DataFrame, order: list[str], sample_size: int = SAMPLE_SIZE) -> tuple[DataFrame, int]:
-    """The first 80 percent in time order and its size; too small a reference is an error."""
+def reference_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """The first 80 percent in time order; a reference that cannot fill its bins is an error."""
     total = df.count()
-    size = int(total * 0.80)
-    if size < sample_size:
-        raise DataError("the dataset is too small for the requested monitoring sample")
-    return df.where(chronological_cut(df, order, 0.80, total)), size
+    if int(total * 0.80) < BINS:
+        raise DataError(f"{total} rows leave fewer reference rows than bins ({BINS})")
+    return df.where(chronological_cut(df, order, 0.80, total))
+
+
+def monitored_rows(reference: DataFrame, keys: list[str], share: float = 1.0) -> DataFrame:
+    """The rows judged against the reference: all of them, or a stated share by key hash, however large the table."""
+    if share >= 1.0:
+        return reference
+    return reference.where(F.pmod(F.xxhash64(*keys), F.lit(HASH_SPAN)) < int(share * HASH_SPAN))
 
 
 def scenarios(sample: DataFrame) -> DataFrame:
@@ -146,15 +152,14 @@ def scenarios(sample: DataFrame) -> DataFrame:
 
 
 def drift_report(
-    df: DataFrame, order: list[str], keys: list[str], sample_size: int = SAMPLE_SIZE, features: list[str] | None = None
+    df: DataFrame, order: list[str], keys: list[str], share: float = 1.0, features: list[str] | None = None
 ) -> DataFrame:
-    """Normal and shifted samples judged against the first 80 percent of the table."""
+    """A share (default all) of the first 80 percent of the table, and its shifted copy, judged against those 80 percent."""
     features = features or FEATURES
     needed = ["traffic_volume", "temp", "rain_1h", "clouds_all", "hour"]
     rows = df.select(*dict.fromkeys([*order, *keys, *needed]))
-    reference, size = reference_rows(rows, order, sample_size)
-    sample = fixed_size_sample(reference, keys, min(sample_size, size), total=size)
-    current = occurrence_recode(scenarios(sample))
+    reference = reference_rows(rows, order)
+    current = occurrence_recode(scenarios(monitored_rows(reference, keys, share)))
     return report(psi(occurrence_recode(reference), current, features, ["Scenario"]))
 
 

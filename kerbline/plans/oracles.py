@@ -357,17 +357,21 @@ ORACLES["annual_totals"] = on_traffic(
     f"SELECT year, recorded_hours, total_traffic_volume, {r('average_hourly_volume', 'average_hourly_volume')} FROM ({ANNUAL})"
 )
 ORACLES["yoy_change"] = on_traffic(
-    f"""SELECT year, recorded_hours, total_traffic_volume, round(average_hourly_volume, 2) AS average_hourly_volume,
-  total_traffic_volume - previous AS absolute_change,
-  round(100.0::DOUBLE * (total_traffic_volume - previous) / previous, 2) AS percentage_change
-FROM (SELECT *, lag(total_traffic_volume) OVER (ORDER BY year) AS previous FROM ({ANNUAL})) ORDER BY year"""
+    f"""SELECT * FROM (WITH a AS ({ANNUAL}), pairs AS (SELECT b.year AS later, max(c.year) AS earlier FROM a b JOIN a c ON c.year < b.year GROUP BY 1)
+SELECT a.year, a.recorded_hours, a.total_traffic_volume, {r('a.average_hourly_volume', 'average_hourly_volume', 2)},
+  a.total_traffic_volume - p.total_traffic_volume AS absolute_change,
+  round((a.total_traffic_volume - p.total_traffic_volume) * 100.0::DOUBLE / p.total_traffic_volume, 2) AS percentage_change
+FROM a LEFT JOIN pairs ON later = a.year LEFT JOIN a p ON p.year = earlier)"""
 )
 ORACLES["holiday_comparison"] = on_traffic(
-    """SELECT CAST(year(date_time) AS INTEGER) AS year, holiday, count(*) AS unique_observations,
-  round(avg(temp), 2) AS average_temperature_kelvin, round(avg(temp - 273.15::DOUBLE), 2) AS average_temperature_celsius,
-  round(avg(traffic_volume), 2) AS average_traffic_volume
-FROM (SELECT DISTINCT date_time, holiday, temp, traffic_volume FROM traffic WHERE holiday IN ('New Years Day', 'Labor Day'))
-WHERE year(date_time) BETWEEN 2015 AND 2017 GROUP BY 1, 2 ORDER BY holiday, year"""
+    """SELECT * FROM (WITH seen AS (
+  SELECT date_time, holiday, temp AS kelvin, traffic_volume AS volume FROM traffic
+  WHERE date_time >= '2015-01-01' AND date_time < '2018-01-01' AND (holiday = 'Labor Day' OR holiday = 'New Years Day')
+  GROUP BY ALL)
+SELECT holiday, CAST(date_part('year', date_time) AS INTEGER) AS year, count(*) AS unique_observations,
+  round(avg(volume), 2) AS average_traffic_volume, round(avg(kelvin), 2) AS average_temperature_kelvin,
+  round(avg(kelvin - 273.15::DOUBLE), 2) AS average_temperature_celsius
+FROM seen GROUP BY ALL)"""
 )
 HOURLY = "SELECT hour, is_weekend, avg(traffic_volume) AS v FROM features GROUP BY 1, 2"
 ORACLES["hourly_by_daytype"] = on_features(f"SELECT hour, is_weekend, {r('v', 'average_traffic_volume')} FROM ({HOURLY})")
@@ -789,8 +793,7 @@ cur_long AS ({long('moved', 'grp, ')})"""
     + BINNED,
 )
 SAMPLED = f""",
-sample_rows AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {ROW_HASH}, event_id, weather_main) AS sn FROM reference)
-  WHERE sn <= least(5000, (SELECT count(*) FROM reference))),
+sample_rows AS (SELECT * FROM reference),
 scenario_rows AS (
   SELECT 'Normal simulated sample' AS grp, {KEY}, traffic_volume::DOUBLE AS traffic_volume, temp, clouds_all, rain_1h, hour,
     rain_occurrence FROM sample_rows

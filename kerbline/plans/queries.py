@@ -858,14 +858,9 @@ def quiet_hours(spark, sf_dir):
 # Drift
 
 
-def _sample_size(df: DataFrame) -> int:
-    """The default sample, or the whole reference where the table is smaller than that."""
-    return min(drift.SAMPLE_SIZE, int(df.count() * 0.80))
-
-
 def _reference(spark, sf_dir) -> DataFrame:
     rows = landed.features(spark, sf_dir)
-    return drift.occurrence_recode(drift.reference_rows(rows, ORDER, _sample_size(rows))[0])
+    return drift.occurrence_recode(drift.reference_rows(rows, ORDER))
 
 
 @query
@@ -894,16 +889,14 @@ def occurrence_recode(spark, sf_dir):
 @query
 def drift_report(spark, sf_dir):
     rows = landed.features(spark, sf_dir)
-    return drift.drift_report(rows, ORDER, KEY, _sample_size(rows))
+    return drift.drift_report(rows, ORDER, KEY)
 
 
 @query
 def drift_scenarios(spark, sf_dir):
     rows = landed.features(spark, sf_dir)
-    size = _sample_size(rows)
-    reference, total = drift.reference_rows(rows.select(*ORDER, "traffic_volume", "temp", "rain_1h", "clouds_all", "hour"), ORDER, size)
-    sample = splits.fixed_size_sample(reference, KEY, size, total=total)
-    return tidy(drift.occurrence_recode(drift.scenarios(sample)).drop("date_time"))
+    reference = drift.reference_rows(rows.select(*ORDER, "traffic_volume", "temp", "rain_1h", "clouds_all", "hour"), ORDER)
+    return tidy(drift.occurrence_recode(drift.scenarios(drift.monitored_rows(reference, KEY))).drop("date_time"))
 
 
 # Scoring and runs
@@ -959,7 +952,7 @@ def run_comparison(spark, sf_dir):
 
 def _event_stream(spark, sf_dir) -> DataFrame:
     schema = read(spark, sf_dir, "events").schema
-    return derive_raw(jobs.file_stream(spark, sf_dir, schema, "events.parquet"))
+    return derive_raw(jobs.file_stream(spark, f"{sf_dir}/events.parquet", schema))
 
 
 @query

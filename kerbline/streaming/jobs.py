@@ -14,14 +14,13 @@ from kerbline.operators.quality import range_quarantine
 from kerbline.operators.score import score_table
 
 
-def file_stream(spark: SparkSession, folder: str, schema: StructType, name: str, files_per_batch: int = 1000) -> DataFrame:
-    """Parquet files matching ``name`` that land in ``folder``."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def file_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All files of a Parquet table, a folder or a single file, and those that land in it later.
+
+    Files that wait when a batch starts are one batch: rows that are out of order across them are never late. The
+    path is given as a pattern that matches itself only, since the reader takes a single file no other way.
+    """
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

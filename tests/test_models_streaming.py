@@ -105,8 +105,22 @@ def test_drift_stream_equals_closed_batch_windows(spark):
     assert 0 < left <= 2
 
 
+def test_stream_of_a_folder_of_disordered_files_equals_the_batch(spark):
+    folder = fresh_path(spark, "many-files")
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(4).write.parquet(f"{folder}/events.parquet")
+    frozen = q._frozen(spark, SF_DIR)
+    out, state = fresh_path(spark, "drift"), fresh_path(spark, "state")
+    stream = jobs.drift_windows(q._monitored(q._event_stream(spark, folder)), frozen)
+    jobs.append_to(stream, out, state).awaitTermination()
+    streamed, batch = q.tidy(spark.read.parquet(out)), q.tidy(jobs.drift_windows(q._monitored(traffic_raw(spark, SF_DIR)), frozen))
+    closed = streamed.select("window_start").distinct()
+    assert streamed.exceptAll(batch).count() == 0 and batch.join(closed, "window_start").exceptAll(streamed.select(batch.join(closed, "window_start").columns)).count() == 0
+    assert batch.select("window_start").distinct().count() - closed.count() <= 2
+
+
 def test_drift_report_shape(spark):
     rows = landed.features(spark, SF_DIR)
-    report = drift.drift_report(rows, q.ORDER, KEY, sample_size=400).collect()
+    report = drift.drift_report(rows, q.ORDER, KEY, share=0.5).collect()
     status = {r["Scenario"]: r["Overall_Status"] for r in report}
     assert len(report) == 10 and status[drift.SHIFTED].startswith("ALERT")

@@ -106,35 +106,28 @@ def test_bad_requests(observations):
         recommend.recommend_windows(observations, "Holiday", "Rain")
 
 
-def psi_by_hand(reference, current):
-    edges = np.unique(np.quantile(reference, np.linspace(0, 1, 11)))
-    if len(edges) < 3:
-        low, high = min(reference), max(reference)
-        if low == high:
-            low, high = low - 0.5, high + 0.5
-        edges = np.linspace(low, high, 11)
-    edges[0], edges[-1] = -np.inf, np.inf
-    r = np.histogram(reference, edges)[0] / len(reference)
-    c = np.histogram(current, edges)[0] / len(current)
-    r, c = np.where(r == 0, 0.0001, r), np.where(c == 0, 0.0001, c)
-    return float(np.sum((c - r) * np.log(c / r)))
+# Worked out by hand. Reference 1..10 twice: the deciles part it into ten bins of one tenth each.
+# - The same rows again: no change.
+# - All current rows in the lowest bin: (1 - 0.1) ln(1 / 0.1) + 9 (0.0001 - 0.1) ln(0.0001 / 0.1) = 8.284065 + ...
+# Reference with one value: ten equal bins around it, of which one is used by both: no change.
+# Reference half 0, half 1: two distinct deciles, so ten equal bins; shares 1/2, 1/2 against 1/4, 3/4:
+# (1/4 - 1/2) ln(1/2) + (3/4 - 1/2) ln(3/2) = 0.173287 + 0.101366 = 0.274653.
+TENTHS = [float(i) for i in range(1, 11)] * 2
 
 
 @pytest.mark.parametrize(
-    "reference, current",
+    "reference, current, expected",
     [
-        ([float(i % 97) for i in range(500)], [float(i % 97) + 9 for i in range(200)]),
-        ([0.0] * 130 + [1.0] * 10, [1.0] * 50),
-        ([4.0] * 20, [4.0] * 10),
-        ([float(i % 5) for i in range(100)], [float(i % 5) for i in range(100)]),
+        (TENTHS, TENTHS, 0.0),
+        (TENTHS, [0.0] * 4, 0.9 * math.log(10) + 9 * 0.0999 * math.log(1000)),
+        ([4.0] * 20, [4.0] * 10, 0.0),
+        ([0.0] * 10 + [1.0] * 10, [0.0] * 1 + [1.0] * 3, 0.25 * math.log(2) + 0.25 * math.log(1.5)),
     ],
 )
-def test_psi_equals_numpy(spark, reference, current):
+def test_psi_of_worked_cases(spark, reference, current, expected):
     ref = spark.createDataFrame([(v,) for v in reference], "x double")
     cur = spark.createDataFrame([("now", v) for v in current], "Scenario string, x double")
-    got = drift.psi(ref, cur, ["x"], ["Scenario"]).first()
-    assert got["psi"] == pytest.approx(psi_by_hand(reference, current), abs=1e-9)
-    assert got["psi"] >= 0
+    assert drift.psi(ref, cur, ["x"], ["Scenario"]).first()["psi"] == pytest.approx(expected, abs=1e-9)
 
 
 def test_drift_levels_at_the_limits(spark):
@@ -144,9 +137,16 @@ def test_drift_levels_at_the_limits(spark):
 
 
 def test_small_reference_is_refused(spark):
-    df = spark.range(100).withColumnRenamed("id", "k")
-    with pytest.raises(DataError, match="too small"):
-        drift.reference_rows(df, ["k"], 5000)
+    df = spark.range(9).withColumnRenamed("id", "k")
+    with pytest.raises(DataError, match="fewer reference rows"):
+        drift.reference_rows(df, ["k"])
+
+
+def test_every_reference_row_is_monitored(spark):
+    df = spark.range(9000).withColumnRenamed("id", "k")
+    reference = drift.reference_rows(df, ["k"])
+    assert drift.monitored_rows(reference, ["k"]).count() == 7200
+    assert 600 < drift.monitored_rows(reference, ["k"], 0.1).count() < 850
 
 
 def test_latest_run_per_version(spark):
