@@ -92,11 +92,12 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     opens = opens | (F.col("_cell") == 0) & (F.col("_key") <= F.get("_bounds", F.lit(0)))
     copies = F.when(opens, F.array(F.struct(F.col("_cell").alias("c"), F.lit(0).alias("sent")), F.struct(before.alias("c"), F.lit(1).alias("sent"))))
     copies = copies.otherwise(F.array(F.struct(F.col("_cell").alias("c"), F.lit(0).alias("sent"))))
-    dealt = keyed.withColumn("_copy", F.explode(copies)).drop("_bounds")
-    ordered = Window.partitionBy("_copy.c").orderBy("_copy.sent", "_key", "text")
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(ordered))
-    return dealt.filter("_copy.sent = 0").drop("_key", "_cell", "_last", "_copy")
+    dealt = keyed.withColumn("_copy", F.explode(copies))
+    dealt = dealt.select(*docs.columns, "_key", F.col("_copy.c").alias("_to"), F.col("_copy.sent").alias("_sent"))
+    # One select, so that all columns share one window and the texts are exchanged once.
+    ordered = Window.partitionBy("_to").orderBy("_sent", "_key", "text")
+    followed = dealt.select("*", *[F.lead(c).over(ordered).alias(f"next_{c}") for c in columns])
+    return followed.filter("_sent = 0").drop("_key", "_to", "_sent")
 
 
 def edited_rows(docs: DataFrame) -> DataFrame:
