@@ -24,8 +24,9 @@ def strip(column: str) -> Column:
 
 
 def title(column: str) -> Column:
-    """Strip and capitalise every run of letters."""
-    return F.initcap(strip(column))
+    """Strip and capitalise every run of letters; any other character starts a new run."""
+    runs = F.regexp_extract_all(strip(column), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def number(column: str) -> Column:

@@ -61,13 +61,16 @@ def parse_timestamp(df: DataFrame, column: str = "date_time") -> DataFrame:
 
 
 def typed(df: DataFrame, column: str, target: str) -> Column:
+    """A column as a number of the target type; what the type cannot hold, fractions of counts too, becomes null."""
     source = dict(df.dtypes)[column]
     if source == "string":
         value = text.number(column)
     elif source in ("float", "double"):
         value = F.nanvl(F.col(column), F.lit(None).cast("double"))
     else:
-        value = F.col(column)
+        return F.col(column).try_cast(target)
+    if target not in ("float", "double"):
+        value = F.when(value == F.floor(value), value)
     return value.try_cast(target)
 
 

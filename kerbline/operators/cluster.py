@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.operators.describe import share_of_total
 from kerbline.operators.features import adverse_weather_flag, zscore
 from kerbline.operators.quality import median_fill
-from kerbline.operators.splits import fixed_size_sample
 from kerbline.shared import attach
 
 # Fixed values.
@@ -26,7 +24,6 @@ CLUSTER_FEATURES = [
 ]
 SIZES = [2, 3, 4, 5, 6]
 RESTARTS = 10
-SAMPLE_ROWS = 10_000
 
 
 def cluster_table(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,60 +39,46 @@ def cluster_table(features: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _labelled_blocks(matrix: np.ndarray, codes: np.ndarray, size: int, columns: list[str]):
-    """Score rows against the whole broadcast sample, one Arrow batch at a time."""
-    squares = (matrix**2).sum(axis=1)
-    member = np.eye(size)[codes]
-    totals = member.sum(axis=0)
-
-    def score(batches):
-        for batch in batches:
-            points = np.stack(batch["_v"].to_numpy()).astype(float)
-            own = batch["_code"].to_numpy()
-            gap = (points**2).sum(axis=1)[:, None] + squares[None, :] - 2 * points @ matrix.T
-            gap[gap < 1e-9 * (1 + squares[None, :])] = 0
-            sums = np.sqrt(gap) @ member
-            rows = np.arange(len(batch))
-            inner = totals[own] - 1
-            a = np.where(inner > 0, sums[rows, own] / np.maximum(inner, 1), 0)
-            means = sums / np.maximum(totals, 1)[None, :]
-            means[rows, own] = np.inf
-            b = means.min(axis=1)
-            widest = np.maximum(a, b)
-            value = np.where((inner > 0) & (widest > 0), (b - a) / np.where(widest > 0, widest, 1), 0.0)
-            out = batch[columns].copy()
-            out["silhouette"] = value
-            yield pd.DataFrame(out)
-
-    return score
-
-
-def silhouette_rows(
-    df: DataFrame, label: str, vector: str, keys: list[str], sample_rows: int = SAMPLE_ROWS, seed: int = 42
-) -> DataFrame:
-    """(label, silhouette) of every row of a key-hash sample of at most ``sample_rows`` rows.
-
-    Distances are Euclidean and exact within the sample. The sample is bounded by its size, so it
-    travels to every task once as a matrix; rows are scored in blocks and no pair is ever emitted.
+def silhouette_rows(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """(label, silhouette) of every row, with the squared Euclidean distance.
+
+    The distances of a row to all members of a cluster add up to n |x|^2 + q - 2 x.s, from the cluster's count n, vector
+    sum s and sum of squared norms q. So one aggregate with a row per cluster, put beside the rows, scores all of
+    them in one more pass. The only row of its cluster scores 0; rows without a label or a vector are left out.
     """
-    array = F.col(vector) if dict(df.dtypes)[vector].startswith("array") else vector_to_array(vector)
-    sample = fixed_size_sample(df.select(*keys, F.col(label).alias("_label"), array.cast("array<double>").alias("_v")), keys, sample_rows, seed)
-    held = sample.limit(sample_rows).toPandas()
-    names = sorted(held["_label"].unique())
-    code = {name: i for i, name in enumerate(names)}
-    held["_code"] = held["_label"].map(code)
-    matrix = np.stack(held["_v"].to_numpy()).astype(float)
-    spark = df.sparkSession
-    rows = spark.createDataFrame(held[["_label", "_code", "_v"]], "_label long, _code long, _v array<double>")
-    spread = rows.repartition(max(2, spark.sparkContext.defaultParallelism))
-    scored = spread.mapInPandas(
-        _labelled_blocks(matrix, held["_code"].to_numpy(), len(names), ["_label"]), "_label long, silhouette double"
+    is_array = dict(df.dtypes)[vector].startswith("array")
+    array = F.col(vector).cast("array<double>") if is_array else vector_to_array(vector)
+    rows = df.select(F.col(label).alias("label"), array.alias("x")).where("label IS NOT NULL AND x IS NOT NULL")
+    normed = rows.withColumn("norm", _dot(F.col("x"), F.col("x")))
+    clusters = normed.groupBy("label").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.sum("norm").alias("q"),
+        vector_to_array(Summarizer.sum(array_to_vector("x"))).alias("s"),
+    )
+    placed = attach(normed, clusters.agg(F.collect_list(F.struct("label", "n", "q", "s")).alias("clusters")))
+
+    def total(c: Column) -> Column:
+        return F.greatest(c["n"] * F.col("norm") + c["q"] - 2 * _dot(F.col("x"), c["s"]), F.lit(0.0))
+
+    own = F.filter("clusters", lambda c: c["label"] == F.col("label"))[0]
+    others = F.filter("clusters", lambda c: c["label"] != F.col("label"))
+    scored = placed.select(
+        "label",
+        own["n"].alias("n"),
+        (total(own) / F.greatest(own["n"] - 1, F.lit(1.0))).alias("a"),
+        F.array_min(F.transform(others, lambda c: total(c) / c["n"])).alias("b"),
     )
-    return scored.withColumnRenamed("_label", "label")
+    widest = F.greatest("a", "b")
+    value = F.when((F.col("n") > 1) & F.col("b").isNotNull() & (widest > 0), (F.col("b") - F.col("a")) / widest)
+    return scored.select("label", F.coalesce(value, F.lit(0.0)).alias("silhouette"))
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
 
 
-def silhouette(df: DataFrame, label: str, vector: str, keys: list[str], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    rows = silhouette_rows(df, label, vector, keys, sample_rows)
+def silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
+    rows = silhouette_rows(df, label, vector)
     return rows.agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("rows"))
 
 
@@ -114,19 +97,16 @@ def best_of_restarts(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed:
 
 
 def kmeans_sweep(
-    vectors: DataFrame, keys: list[str], sizes: list[int] | None = None, restarts: int = RESTARTS, sample_rows: int = SAMPLE_ROWS
+    vectors: DataFrame, sizes: list[int] | None = None, restarts: int = RESTARTS
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """(clusters, inertia, silhouette) per candidate size, and the fitted models."""
     held = vectors.persist()
-    total = held.count()
-    sample = fixed_size_sample(held, keys, sample_rows, total=total)
     rows, models = [], {}
     try:
         for k in sizes or SIZES:
             model = best_of_restarts(held, k, restarts)
             models[k] = model
-            labelled = model.transform(sample)
-            score = silhouette(labelled, "cluster", "features", keys, sample_rows).first()["silhouette"]
+            score = silhouette(model.transform(held), "cluster", "features").first()["silhouette"]
             rows.append((k, float(model.summary.trainingCost), float(score)))
     finally:
         held.unpersist()

@@ -79,7 +79,10 @@ typed AS (
   FROM traffic_text)"""
 
 FILLED = "CASE WHEN holiday IS NULL OR trim(holiday) IN ('', 'None') THEN 'No Holiday' ELSE holiday END"
-TITLE = "upper(substr(trim(weather_main), 1, 1)) || lower(substr(trim(weather_main), 2))"
+TITLE = (
+    "array_to_string(list_transform(regexp_extract_all(trim(weather_main), '[\\p{L}]+|[^\\p{L}]+'), "
+    "lambda part: upper(part[1]) || lower(part[2:])), '')"
+)
 
 CTE_CLEAN = f""",
 standard AS (
@@ -655,24 +658,24 @@ ORACLES["subgroup_errors"] = on_features(
 
 # Clusters
 ORACLES["silhouette"] = f"""
-WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  ORDER BY {h('CAST(vec_id AS VARCHAR)')}, vec_id LIMIT 10000),
-pairs AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.e, b.e)) AS s, count(*) AS n
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
-own AS (SELECT vec_id, s / n AS a FROM pairs WHERE label = other),
-near AS (SELECT vec_id, min(s / n) AS b FROM pairs WHERE label <> other GROUP BY 1),
-s AS (SELECT v.vec_id, CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS value
-  FROM v LEFT JOIN own USING (vec_id) LEFT JOIN near USING (vec_id))
-SELECT {r('avg(value)', 'silhouette')}, count(*) AS rows FROM s"""
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+cells AS (SELECT label, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v),
+sums AS (SELECT label, list(x ORDER BY i) AS s FROM (SELECT label, i, sum(x) AS x FROM cells GROUP BY 1, 2) GROUP BY 1),
+norms AS (SELECT label, count(*) AS n, sum(list_dot_product(e, e)) AS q FROM v GROUP BY 1),
+total AS (SELECT vec_id, v.label, c.label AS other, n, n * list_dot_product(e, e) + q - 2 * list_dot_product(e, c.s) AS t
+  FROM v CROSS JOIN (SELECT * FROM sums JOIN norms USING (label)) c),
+each AS (SELECT vec_id, max(CASE WHEN label = other THEN t / greatest(n - 1, 1) END) AS a, max(CASE WHEN label = other THEN n END) AS n,
+  min(CASE WHEN label <> other THEN t / n END) AS b FROM total GROUP BY 1)
+SELECT {r('avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END)', 'silhouette')}, count(*) AS rows FROM each"""
 
 # Rules
 ITEMS = f""",
-tx AS (SELECT 'Time=' || {BAND} AS t, 'Day=' || day_type AS d, 'Weather=' || weather AS w, 'Congestion=' || congestion_quartile AS c FROM features),
-cubed AS (SELECT c, d, t, w, (c IS NOT NULL)::INTEGER + 2 * (d IS NOT NULL)::INTEGER + 4 * (t IS NOT NULL)::INTEGER
+tx AS MATERIALIZED (SELECT 'Time=' || {BAND} AS t, 'Day=' || day_type AS d, 'Weather=' || weather AS w, 'Congestion=' || congestion_quartile AS c FROM features),
+cubed AS MATERIALIZED (SELECT c, d, t, w, (c IS NOT NULL)::INTEGER + 2 * (d IS NOT NULL)::INTEGER + 4 * (t IS NOT NULL)::INTEGER
     + 8 * (w IS NOT NULL)::INTEGER AS mask, count(*) AS records, count(*) / (SELECT count(*) FROM tx)::DOUBLE AS support
   FROM tx GROUP BY CUBE (c, d, t, w)),
-itemsets AS (SELECT *, concat_ws(', ', c, d, t, w) AS itemset FROM cubed WHERE mask > 0 AND support >= 0.02),
-splits AS (SELECT a.itemset AS antecedents, q.itemset AS consequents, a.support AS sa, q.support AS sc, j.support AS s,
+itemsets AS MATERIALIZED (SELECT *, concat_ws(', ', c, d, t, w) AS itemset FROM cubed WHERE mask > 0 AND support >= 0.02),
+splits AS MATERIALIZED (SELECT a.itemset AS antecedents, q.itemset AS consequents, a.support AS sa, q.support AS sc, j.support AS s,
     a.mask AS am, q.mask AS cm
   FROM itemsets j
   JOIN itemsets a ON (a.mask & j.mask) = a.mask AND a.mask < j.mask AND (a.c IS NULL OR a.c = j.c) AND (a.d IS NULL OR a.d = j.d)

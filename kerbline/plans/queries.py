@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -761,23 +762,32 @@ def sampled_shapley(spark, sf_dir):
 # Clusters
 
 
+def _sweep(spark, sf_dir):
+    """The vectors, the sweep and the best model; swept once per session and kept in the shared folder."""
+    vectors = cluster.cluster_table(landed.features(spark, sf_dir), KEY)
+    path = landed.path_of(spark, sf_dir, "kmeans-sweep")
+    if path not in landed.done:
+        sweep, fitted = cluster.kmeans_sweep(vectors)
+        fitted[cluster.select_size(sweep)].write().overwrite().save(f"{path}/model")
+        sweep.write.mode("overwrite").parquet(f"{path}/sweep")
+        landed.done.add(path)
+    return vectors, spark.read.parquet(f"{path}/sweep"), KMeansModel.load(f"{path}/model")
+
+
 @query
 def kmeans_sweep(spark, sf_dir):
-    vectors = cluster.cluster_table(landed.features(spark, sf_dir), KEY)
-    return cluster.kmeans_sweep(vectors, KEY)[0]
+    return _sweep(spark, sf_dir)[1]
 
 
 @query
 def kmeans_select_fit(spark, sf_dir):
-    vectors = cluster.cluster_table(landed.features(spark, sf_dir), KEY)
-    sweep, fitted = cluster.kmeans_sweep(vectors, KEY)
-    assigned = fitted[cluster.select_size(sweep)].transform(vectors)
-    return cluster.cluster_naming(cluster.cluster_profiles(assigned))
+    vectors, _, best = _sweep(spark, sf_dir)
+    return cluster.cluster_naming(cluster.cluster_profiles(best.transform(vectors)))
 
 
 @query
 def silhouette(spark, sf_dir):
-    return tidy(cluster.silhouette(read(spark, sf_dir, "embeddings"), "label", "embedding", ["vec_id"]))
+    return tidy(cluster.silhouette(read(spark, sf_dir, "embeddings"), "label", "embedding"))
 
 
 @query

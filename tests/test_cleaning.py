@@ -21,8 +21,18 @@ def test_strip_title_and_missing(spark):
     )
     filled = cleaning.fill_missing_category(df).withColumn("holiday", text.strip("holiday")).orderBy("i")
     assert [r.holiday for r in filled.collect()] == ["Labor Day", "No Holiday", "No Holiday", "No Holiday", "No Holiday"]
-    words = spark.createDataFrame([(" cLEAR\n",), (None,)], "w string")
-    assert one(words.select(text.title("w").alias("w")), "w") == [("Clear",), (None,)]
+    words = spark.createDataFrame([(" cLEAR\n",), ("rain/snow",), ("o'NEIL  day 2nd",), ("",), (None,)], "w string")
+    assert one(words.select(text.title("w").alias("w")), "w") == [("Clear",), ("Rain/Snow",), ("O'Neil  Day 2Nd",), ("",), (None,)]
+
+
+def test_fractions_of_counts_are_null_and_audited(spark):
+    columns = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+    row = dict(temp="280", rain_1h="0", snow_1h="0", weather_main="Clear", weather_description="x", date_time="2015-01-01 03:00:00")
+    rows = [{**row, "clouds_all": c, "traffic_volume": v} for c, v in [("12.7", "40.0"), ("12", "40.9")]]
+    raw = spark.createDataFrame([tuple(r.get(c) for c in RAW_COLUMNS) for r in rows], columns)
+    assert one(cleaning.parse_numeric(raw), "clouds_all", "traffic_volume") == [(None, 40), (12, None)]
+    audit = {(r["step"], r["column"]): r["rows_changed"] for r in cleaning.cleaning_audit(raw).collect()}
+    assert audit["invalid_number", "clouds_all"] == audit["invalid_number", "traffic_volume"] == audit["drop_incomplete", "all"] == 1
 
 
 def test_number_parsing(spark):

@@ -73,7 +73,7 @@ def test_importance_finds_the_hour(split_rows, forest):
 
 def test_sweep_and_selection(spark):
     vectors = cluster.cluster_table(landed.features(spark, SF_DIR), KEY)
-    sweep, fitted = cluster.kmeans_sweep(vectors, KEY, sizes=[2, 3], restarts=2)
+    sweep, fitted = cluster.kmeans_sweep(vectors, sizes=[2, 3], restarts=2)
     rows = {r["clusters"]: r for r in sweep.collect()}
     assert rows[3]["inertia"] < rows[2]["inertia"]
     chosen = cluster.select_size(sweep)

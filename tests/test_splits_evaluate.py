@@ -104,7 +104,7 @@ def test_silhouette_by_hand(spark):
     df = spark.createDataFrame(points, "k int, label int, v array<double>")
 
     def dist(a, b):
-        return sum((x - y) ** 2 for x, y in zip(a, b)) ** 0.5
+        return sum((x - y) ** 2 for x, y in zip(a, b))
 
     total = 0
     for k, label, v in points:
@@ -115,5 +115,11 @@ def test_silhouette_by_hand(spark):
         others = {l for _, l, _ in points if l != label}
         b = min(sum(dist(v, w) for _, l, w in points if l == o) / sum(l == o for _, l, _ in points) for o in others)
         total += (b - a) / max(a, b)
-    got = cluster.silhouette(df, "label", "v", ["k"]).first()
+    got = cluster.silhouette(df, "label", "v").first()
     assert got["silhouette"] == pytest.approx(total / 5) and got["rows"] == 5
+
+
+def test_silhouette_takes_every_row_and_one_cluster_scores_zero(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("label"), F.array(F.col("id") % 3 * 1.0, F.lit(0.0)).alias("v"))
+    assert tuple(cluster.silhouette(df, "label", "v").first()) == (1.0, 30_000)
+    assert tuple(cluster.silhouette(df.where("label = 1"), "label", "v").first()) == (0.0, 10_000)
