@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kerbline.llm.bwt import SEPARATOR, repeated
 from kerbline.llm.common import land, mixed, pieces
@@ -199,11 +200,13 @@ def crowd_runs(rows: DataFrame) -> DataFrame:
 
     windows = land(rows.select("v", "h", "n", "bytes").mapInArrow(run, "v bigint, h bigint, n int, place int, window bigint"), "crowd")
     again = windows.groupBy("v", "window").count().filter("count > 1").select("v", "window")
-    places = windows.join(again, ["v", "window"]).groupBy("v", "h", "n").agg(F.sort_array(F.collect_set("place")).alias("p"))
-    fresh = F.filter("p", lambda x: ~F.array_contains("p", x - 1))
-    ends = F.filter("p", lambda x: ~F.array_contains("p", x + 1))
-    runs = F.zip_with(fresh, ends, lambda a, b: F.struct(a.alias("a"), (b + 1).cast("int").alias("b")))
-    return places.select("v", "h", "n", runs.alias("runs"))
+    places = windows.join(again, ["v", "window"]).select("v", "h", "n", "place").distinct()
+    # Places that follow one another differ from their rank by the same number.
+    rank = F.row_number().over(Window.partitionBy("v", "h", "n").orderBy("place"))
+    runs = places.withColumn("run", F.col("place") - rank).groupBy("v", "h", "n", "run").agg(
+        F.min("place").alias("a"), (F.max("place") + 1).cast("int").alias("b")
+    )
+    return runs.groupBy("v", "h", "n").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
