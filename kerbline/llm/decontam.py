@@ -2,8 +2,8 @@
 
 Words are runs of lower-cased letters and digits. An item is the multiset of its five-word shingles (one of the
 whole item if shorter); a shingle found in k items weighs 1/k, so phrases that many items share count less. A document
-window with as many words as the item is compared with it: similarity is the sum of the smaller weights over the sum of
-the larger ones, and ``MIN_SIMILARITY`` or more is a leak.
+window with as many words as the item, or the whole document where it has fewer, is compared with it: similarity is the
+sum of the smaller weights over the sum of the larger ones, and ``MIN_SIMILARITY`` or more is a leak.
 
 Windows are found by 128-bit SimHash. Sixteen blocks of eight bits index the items: two fingerprints within ``RADIUS``
 bits differ by at most RADIUS // 16 bits in some block, so the union of the blocks' near values holds every item within
@@ -100,8 +100,9 @@ class Items:
             held[inside + 1] = 1
             held = np.cumsum(held)
             for size, (members, prints, near) in self.by_size.items():
-                span = size - SHINGLE_WORDS + 1
-                starts = np.flatnonzero(held[span:] - held[:-span] > 0) if span <= len(part) else np.zeros(0, int)
+                # A region is shorter than an item only if it is the whole document, which then is the only window.
+                span = min(size - SHINGLE_WORDS + 1, len(part))
+                starts = np.flatnonzero(held[span:] - held[:-span] > 0)
                 if not len(starts):
                     continue
                 windows = np.packbits(totals[starts + span] - totals[starts] > 0, axis=1)
@@ -114,7 +115,7 @@ class Items:
                     item, at = int(members[column]), int(starts[row])
                     likeness = self.similarity(item, part[at : at + span])
                     if likeness >= MIN_SIMILARITY and likeness > best.get(item, (0, 0.0))[1]:
-                        best[item] = (self.ids[item], likeness, low + at, size)
+                        best[item] = (self.ids[item], likeness, low + at, span + SHINGLE_WORDS - 1)
         out = [best[i] for i in sorted(best)]
         for size, known in self.short.items():
             for at, h in enumerate(run_hashes(words, size).tolist()):

@@ -143,6 +143,18 @@ def test_leaks_equal_brute_force(spark, corpus):
     assert decontam.leaks(docs, bench.limit(0)).filter("size(found) > 0").count() == 0
 
 
+def test_items_longer_than_the_document_are_found(spark):
+    rng = random.Random(4)
+    items = [prose(rng, 40), prose(rng, 90)]
+    words = items[0].split()
+    texts = [" ".join(words[:36]), " ".join(words[4:]), " ".join(words[:20] + words[21:]), " ".join(words[:20]), items[0] + " " + prose(rng, 20)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {r["row"]["doc_id"]: [tuple(x) for x in r["found"]] for r in decontam.leaks(rows(spark, texts), bench).collect()}
+    assert [[x[0] for x in found[k]] for k in range(5)] == [[0], [0], [0], [], [0]]
+    assert [found[k][0][2:] for k in (0, 1, 2, 4)] == [(0, 36), (0, 36), (0, 39), (0, 40)]
+    assert found[0][0][1] == pytest.approx(32 / 36) and found[2][0][1] == pytest.approx(31 / 40)
+
+
 def test_fingerprints(spark, corpus):
     docs = rows(spark, corpus)
     out = {r["doc_id"]: r for r in spotsigs.edited_rows(docs).collect()}
