@@ -155,6 +155,25 @@ def test_items_longer_than_the_document_are_found(spark):
     assert found[0][0][1] == pytest.approx(32 / 36) and found[2][0][1] == pytest.approx(31 / 40)
 
 
+def test_weights_follow_the_whole_benchmark(spark, monkeypatch):
+    rng = random.Random(8)
+    once, common = prose(rng, 44), prose(rng, 12)
+    listed = [once, once.upper() + "!", once] + [f"{prose(rng, 30)} {common}" for _ in range(30)]
+    words = once.split()
+    words[20] = "changed"
+    texts = [" ".join(words), f"{prose(rng, 9)} {near_copy(rng, listed[5], 2)} {prose(rng, 9)}", listed[7], prose(rng, 50), None]
+    bench = spark.createDataFrame(list(enumerate(listed)), "item_id bigint, text string")
+
+    def found():
+        return sorted((r["row"]["doc_id"], [tuple(x) for x in r["found"]]) for r in decontam.leaks(rows(spark, texts), bench).collect())
+
+    whole = found()
+    assert [x[0] for x in whole[0][1]] == [0, 1, 2] and whole[0][1][0][1] == pytest.approx((40 - 5) / (40 + 5))
+    assert [x[0] for x in whole[2][1]] == [7] and not whole[3][1] and not whole[4][1]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 1 << 10)
+    assert found() == whole
+
+
 def test_fingerprints(spark, corpus):
     docs = rows(spark, corpus)
     out = {r["doc_id"]: r for r in spotsigs.edited_rows(docs).collect()}
