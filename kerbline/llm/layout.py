@@ -1,13 +1,14 @@
 """HTML extraction: a tree with implied tags and visibility, rendered with block spacing, lists and aligned table cells.
 
 ``tree`` reads tags, text, comments and raw elements; it closes what HTML closes by itself (``p`` before a block, ``li``, ``dt``, ``dd``,
-``option``, table parts), ignores end tags without a start, and ends open elements with their parent. ``rendered`` emits all visible
+``option``, table parts), ignores end tags without a start, ends open elements with their parent, and puts text that stands in a
+table outside of its cells before the table. Open elements are found by tag, so a page takes a time that follows its length, and
+tree and rendering keep their own stacks, so elements nest to any depth. ``rendered`` emits all visible
 text: hidden elements (by element, ``hidden`` attribute or inline style) are skipped; white space collapses but in ``pre``;
 paragraphs and headings stand apart by an empty line, other blocks by a line end; list items get a bullet or their number,
 indented by depth; table cells are aligned in columns, two spaces apart, with ``colspan`` kept.
 
-Defined cases: null and empty pages give empty text; broken markup gives the text that can be read; elements nested deeper than
-``MAX_DEPTH`` become children of the last one above; null ids are rows like any other; repeated rows give equal texts;
+Defined cases: null and empty pages give empty text; broken markup gives the text that can be read; null ids are rows like any other; repeated rows give equal texts;
 other columns are ignored; an empty table gives an empty result.
 """
 
@@ -15,14 +16,13 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Generator, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 200
-
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
@@ -42,6 +42,8 @@ CLOSES = {
     "tfoot": {"tbody", "thead", "tfoot", "tr", "td", "th"}, "body": {"head"},
 }
 SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "optgroup": {"select"}}
+#: Text directly in these goes before their table.
+FOSTERING = frozenset("table tbody thead tfoot tr".split())
 TABLE_PARTS = frozenset("td th tr tbody thead tfoot caption".split())
 P_SCOPE = frozenset("td th caption button object table html body".split())
 FLOW_IN_HEAD = frozenset("title meta link script style base noscript template".split())
@@ -67,10 +69,34 @@ def attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
+class Open:
+    """The open elements, outermost first, and the places of each tag among them; the root has none."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().tag].pop()
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost element with one of the tags, or 0."""
+        return max((self.places[x][-1] for x in tags if self.places.get(x)), default=0)
+
+    def first(self, tags: Iterable[str], after: int) -> int:
+        """Place of the outermost element with one of the tags inside the element at ``after``, or 0."""
+        found = [self.places.get(x, ()) for x in tags]
+        return min((x[bisect_right(x, after)] for x in found if x and x[-1] > after), default=0)
+
+
 def tree(page: str) -> Node:
     """The element tree of a page; text nodes are strings."""
     root = Node("html", {})
-    stack, at, end = [root], 0, len(page)
+    stack, at, end = Open(root), 0, len(page)
     while at < end:
         m = _MARKUP.match(page, at)
         at = m.end()
@@ -79,9 +105,9 @@ def tree(page: str) -> Node:
             text = m[0]
             if not text.startswith(("<!", "<?")):
                 text = html.unescape(text) if "&" in text else text
-                if stack[-1].tag == "head" and not text.isspace():
-                    stack.pop()
-                stack[-1].children.append(text)
+                if stack.nodes[-1].tag == "head" and not text.isspace():
+                    stack.cut(len(stack.nodes) - 1)
+                _add_text(stack, text)
             continue
         tag = tag.lower()
         if m[1]:
@@ -89,48 +115,49 @@ def tree(page: str) -> Node:
             continue
         _imply(stack, tag)
         node = Node(tag, attributes(m[3]))
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
             text = page[at : close.start() if close else end]
             node.children.append(html.unescape(text) if tag in ("textarea", "title") else text)
             at = close.end() if close else end
-        elif tag not in VOID and len(stack) < MAX_DEPTH:
-            stack.append(node)
+        elif tag not in VOID:
+            stack.push(node)
     return root
 
 
-def _end(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        # An end tag inside a table cell closes nothing outside of its table.
-        if stack[i].tag == "table" and tag not in ("body", "html"):
-            return
+def _add_text(stack: Open, text: str) -> None:
+    nodes = stack.nodes
+    if nodes[-1].tag in FOSTERING and text.strip(" \t\n\r\f"):
+        tables = stack.places.get("table", ())
+        for place in reversed(tables):
+            # An open table is the last child of its parent; one that stands in another table outside of a cell passes the text on.
+            if nodes[place - 1].tag not in FOSTERING or place == tables[0]:
+                above = nodes[place - 1].children
+                above.insert(len(above) - 1, text)
+                return
+    nodes[-1].children.append(text)
+
+
+def _end(stack: Open, tag: str) -> None:
+    place = stack.last((tag,))
+    # An end tag inside a table cell closes nothing outside of its table.
+    if place and (tag in ("body", "html") or place >= stack.last(("table",))):
+        stack.cut(place)
 
 
-def _imply(stack: list[Node], tag: str) -> None:
-    if stack[-1].tag == "head" and tag not in FLOW_IN_HEAD:
-        stack.pop()
+def _imply(stack: Open, tag: str) -> None:
+    if stack.nodes[-1].tag == "head" and tag not in FLOW_IN_HEAD:
+        stack.cut(len(stack.nodes) - 1)
     if tag in BLOCKS and tag not in ("td", "th"):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in P_SCOPE:
-                break
+        place = stack.last(("p",))
+        if place > stack.last(P_SCOPE):
+            stack.cut(place)
     closing = CLOSES.get(tag)
     if closing:
-        scope = SCOPE.get(tag, {"table"})
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in scope:
-                break
-            if stack[i].tag in closing:
-                cut = i
-        if cut is not None:
-            del stack[cut:]
+        place = stack.first(closing, stack.last(SCOPE.get(tag, ("table",))))
+        if place:
+            stack.cut(place)
 
 
 def visible(node: Node) -> bool:
@@ -194,12 +221,24 @@ def rendered(page: str | None) -> str:
         return ""
     out = Page()
     out.gap = 1
-    _render(tree(page), out, False)
+    _run(_render(tree(page), out, False))
     text = "".join(out.out)
     return "\n".join(x.rstrip() for x in text.split("\n")).strip("\n")
 
 
-def _render(node: Node, out: Page, verbatim: bool) -> None:
+def _run(task: Generator) -> None:
+    """Run a generator that yields the generators it waits for; they wait on a list, so nothing bounds their depth."""
+    waiting, result = [task], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(result))
+            result = None
+        except StopIteration as done:
+            waiting.pop()
+            result = done.value
+
+
+def _render(node: Node, out: Page, verbatim: bool) -> Generator:
     counter = _first_number(node) if node.tag == "ol" else 0
     for child in node.children:
         if isinstance(child, str):
@@ -214,7 +253,7 @@ def _render(node: Node, out: Page, verbatim: bool) -> None:
             out.block(2)
         elif tag == "table":
             out.block(2)
-            for line in _table(child):
+            for line in (yield _table(child)):
                 out.block(1)
                 out.verbatim(line)
             out.block(2)
@@ -226,7 +265,7 @@ def _render(node: Node, out: Page, verbatim: bool) -> None:
             out.indent += 1
             out.mark = f"{counter}. " if ordered else "- "
             counter += 1
-            _render(child, out, verbatim)
+            yield _render(child, out, verbatim)
             out.mark = ""
             out.indent -= 1
             out.block(1)
@@ -235,11 +274,11 @@ def _render(node: Node, out: Page, verbatim: bool) -> None:
             deeper = tag in ("blockquote", "dd")
             out.block(gap)
             out.indent += deeper
-            _render(child, out, verbatim or tag == "pre")
+            yield _render(child, out, verbatim or tag == "pre")
             out.indent -= deeper
             out.block(gap)
         else:
-            _render(child, out, verbatim)
+            yield _render(child, out, verbatim)
 
 
 def _first_number(node: Node) -> int:
@@ -248,25 +287,31 @@ def _first_number(node: Node) -> int:
 
 
 def _rows(node: Node) -> Iterator[list[Node]]:
-    for child in node.children:
+    waiting = [iter(node.children)]
+    while waiting:
+        child = next(waiting[-1], None)
+        if child is None:
+            waiting.pop()
+            continue
         if isinstance(child, str) or not visible(child):
             continue
         if child.tag == "tr":
             yield [c for c in child.children if not isinstance(c, str) and visible(c)]
         elif child.tag in ("tbody", "thead", "tfoot"):
-            yield from _rows(child)
+            waiting.append(iter(child.children))
         elif child.tag in ("td", "th", "caption") or child.children:
             yield [child]
 
 
-def _table(node: Node) -> list[str]:
+def _table(node: Node) -> Generator:
+    """Returns the lines of a table."""
     grid, widths = [], []
     for cells in _rows(node):
         row, column = [], 0
         for cell in cells:
             inner = Page()
             inner.gap = 1
-            _render(cell, inner, False)
+            yield _render(cell, inner, False)
             text = _SPACE.sub(" ", "".join(inner.out)).strip()
             span = cell.attributes.get("colspan", "1")
             span = min(int(span), 100) if re.fullmatch(r"\d{1,4}", span) and int(span) else 1

@@ -154,6 +154,24 @@ def test_layout(spark):
     assert sorted(r["n_lines"] for r in out) == [0, 0, 20] and layout.extract(data.limit(0)).count() == 0
 
 
+def test_stray_text_of_tables_is_kept():
+    assert layout.rendered("a<table>Note<tr><td>x<td>y</table>b") == "aNote\n\nx  y\n\nb"
+    assert layout.rendered("<table><tr>Total <td>5</td> more<tbody>rest</tbody></table>") == "Total morerest\n\n5"
+    assert layout.rendered("<table><tr><td><table><tr>in<td>1</table><td>2</table>") == "in 1  2"
+    assert layout.rendered("<table><table>t<tr><td>1</table></table>").startswith("t")
+    assert layout.rendered("<div hidden><table>no<tr><td>x</table></div><table> \n<tr> <td>y</table>") == "y"
+
+
+def test_deep_pages_are_exact():
+    inner = "<div hidden>no</div><div style='display:none'>no</div><table><tr><td>a<td>b<tr><td>c<td>d</table><b>x</b>y<ul><li>p<li>q</ul>"
+    flat = layout.rendered(inner)
+    assert flat == "a  b\nc  d\n\nxy\n\n- p\n- q"
+    for tag in ("i", "div", "b"):
+        assert layout.rendered(f"<{tag}>" * 300 + inner) == layout.rendered(f"<{tag}>" * 100_000 + inner) == flat
+    assert layout.rendered("<div hidden>" + "<b>" * 5000 + "no" + "</b>" * 5000 + "</div>yes") == "yes"
+    assert layout.rendered("<table><tr><td>" * 1500 + "x<td>y") == "x y"
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark):
     docs = table(spark, SF.replace("0.01", "0.001"), "documents")
     before = docs.count()
