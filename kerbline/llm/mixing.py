@@ -107,8 +107,9 @@ def schedule(docs: DataFrame) -> DataFrame:
 
     def copy(k: int):
         end = F.col("end") + F.col("source_size") * k
+        # A source without words has target 0; its copies have no words and no finish, and are left out.
         words = F.greatest(F.lit(0), F.least(F.col("size"), quota - (end - F.col("size"))))
-        return F.struct(F.lit(k).alias("pass"), (end / F.col("target")).alias("finish"), words.alias("words"))
+        return F.struct(F.lit(k).alias("pass"), F.try_divide(end, F.col("target")).alias("finish"), words.alias("words"))
 
     copies = F.filter(F.array(*[copy(k) for k in range(REPEATS)]), lambda x: x["words"] > 0)
     return placed.select("row", "size", "source_size", "target", copies.alias("copies")).withColumn(

@@ -98,6 +98,15 @@ def test_mix_follows_the_targets(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_of_a_source_without_words(spark):
+    docs = rows(spark, ["a b c d", "e f", None, "", " \t", None], source=["a", "a", "b", "b", "b", None])
+    plan = {r["row"]["doc_id"]: (r["source_size"], r["target"], r["taken"]) for r in mixing.schedule(docs).collect()}
+    assert plan == {0: (6, 9, plan[0][2]), 1: (6, 9, plan[1][2]), **{k: (0, 0, 0) for k in range(2, 6)}}
+    assert plan[0][2] + plan[1][2] == 9
+    assert sorted({r["doc_id"] for r in mixing.mix(docs).collect()}) == [0, 1]
+    assert mixing.mix(docs.filter("doc_id > 1")).count() == 0
+
+
 def test_conversations_round_trip(spark):
     turns = [(1, 0, "user", "a\\n<|im_end|>\n\\"), (1, 1, "assistant", "b<|<|im_start|>\\|"), (1, 1, "assistant", None), (None, None, None, None), (2, 3, "as\nsistant", "<")]
     data = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
