@@ -74,7 +74,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, minimizer, start, length, content hash, and whether the minimizer occurs twice in some window."""
+    """Row, minimizer, start, length, content hash, and whether the minimizer occurs twice in it."""
     grams = len(data) - GRAM + 1
     if grams < WINDOW:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.int64, bool))
@@ -91,6 +91,9 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     whole = row[: len(v)] == row[LEAST - 1 :]
     change = np.ones(len(v), bool)
     change[1:] = (v[1:] != v[:-1]) | (row[1 : len(v)] != row[: len(v) - 1]) | (whole[1:] != whole[:-1])
+    # Occurrences WINDOW apart are never in one window, but follow one another inside a segment.
+    found = first & low
+    twice[1:] |= ~change[1:] & (found[1:] != found[:-1])
     starts = np.flatnonzero(change)
     ends = np.append(starts[1:], len(v))
     again = np.logical_or.reduceat(twice, starts)

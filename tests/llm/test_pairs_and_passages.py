@@ -102,6 +102,14 @@ def test_cuts_equal_brute_force(spark, corpus):
     assert cut_rows(spark, corpus) == covered(corpus, suffixdedup.LEAST)
 
 
+def test_cuts_of_periods_around_the_window(spark):
+    rng = random.Random(6)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n - 1)) + "\n" for n in range(suffixdedup.WINDOW - 1, suffixdedup.WINDOW + 2)]
+    texts = [line * 3 for line in lines]
+    expected = covered(texts, suffixdedup.LEAST)
+    assert cut_rows(spark, texts) == expected and all(x[1] > 0 for x in expected)
+
+
 def test_crowded_minimizers_give_the_same_cuts(spark, corpus, monkeypatch):
     monkeypatch.setattr(suffixdedup, "CROWD", 2)
     assert cut_rows(spark, corpus) == covered(corpus, suffixdedup.LEAST)
