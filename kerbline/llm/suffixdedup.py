@@ -13,7 +13,8 @@
 4. Repeated runs go back to each text's segments and are cut out of the whole texts.
 
 Content hashes are 64-bit and compared together with the minimizer and the length. All intermediate tables follow the number
-of segments; texts are read again rather than shuffled, but for those of step 3.
+of segments; texts are read again rather than shuffled, but for those of step 3. Lists of segments or runs go to all tasks
+only while their rows and their entries together are few, else by a shuffle join; one list is bounded by its own text.
 
 Defined cases: null and empty texts lose nothing; texts under 400 bytes lose nothing; equal texts of 400 bytes or more
 lose everything; null ids are rows like any other; repeated rows are equal texts; other columns pass untouched;
@@ -139,7 +140,7 @@ def with_segments(docs: DataFrame) -> DataFrame:
 
 def segment_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """v, h, n and bytes of the wanted segments (text_key, s, n, v, h), from one copy of each text."""
-    lists = sized(wanted.groupBy("text_key").agg(F.collect_list(F.struct("v", "s", "n", "h")).alias("wanted")))
+    lists = sized(wanted.groupBy("text_key").agg(F.collect_list(F.struct("v", "s", "n", "h")).alias("wanted")), lists="wanted")
     texts = docs.select(F.md5("text").alias("text_key"), "text").join(lists, "text_key").dropDuplicates(["text_key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +242,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     )
     single = rows.filter("copies = 1").select("text_key", "v", "h", "n", "s")
     spans = (
-        single.join(sized(outcome), ["v", "h", "n"])
+        single.join(sized(outcome, lists="runs"), ["v", "h", "n"])
         .select("text_key", F.explode(F.transform("runs", lambda r: F.struct((F.col("s") + r["a"]).alias("a"), (F.col("s") + r["b"]).alias("b")))).alias("r"))
         .groupBy("text_key")
         .agg(F.sort_array(F.collect_list("r")).alias("runs"))
@@ -254,7 +255,7 @@ def cut(docs: DataFrame) -> DataFrame:
     """Every row as the struct ``row`` with n_bytes, n_removed, n_spans, the kept bytes and their sha256."""
     plan = land(repeated_runs(docs.select("text")), "cuts")
     frame = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("text").alias("text"), F.md5("text").alias("text_key"))
-    frame = frame.join(sized(plan), "text_key", "left").select("row", "text", "runs")
+    frame = frame.join(sized(plan, lists="runs"), "text_key", "left").select("row", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 
 BROADCAST_ROWS = 200_000
+BROADCAST_ENTRIES = 1_000_000
 _local_folders: dict[str, str] = {}
 
 
@@ -44,7 +45,11 @@ def attach(df: DataFrame, row: DataFrame) -> DataFrame:
     return df.withColumn("_row", cell).select(*df.columns, *[F.col("_row")[c].alias(c) for c in row.columns])
 
 
-def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast an aggregate only after counting it; larger ones are left to a shuffle join."""
+def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS, lists: str | None = None) -> DataFrame:
+    """Broadcast an aggregate only after counting it; larger ones are left to a shuffle join.
+
+    ``lists`` names a list column, whose entries over all rows must not exceed ``BROADCAST_ENTRIES`` either.
+    """
     small = saved(small)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    rows, entries = small.agg(F.count("*"), F.sum(F.size(lists)) if lists else F.lit(0)).first()
+    return F.broadcast(small) if rows <= max_rows and (entries or 0) <= BROADCAST_ENTRIES else small

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from llm_rows import rows
 
+from kerbline import shared
 from kerbline.llm import decontam, graph, ngramjoin, spotsigs, suffixdedup
 from kerbline.llm.bwt import repeated
 
@@ -110,6 +111,22 @@ def test_cuts_of_periods_around_the_window(spark):
     assert cut_rows(spark, texts) == expected and all(x[1] > 0 for x in expected)
 
 
+def test_lists_are_broadcast_by_their_entries(spark, monkeypatch):
+    lists = spark.createDataFrame([(1, [1, 2, 3]), (2, [4])], "k int, x array<int>")
+
+    def hinted():
+        return "Hint" in shared.sized(lists, lists="x")._jdf.queryExecution().analyzed().toString()
+
+    assert hinted()
+    monkeypatch.setattr(shared, "BROADCAST_ENTRIES", 3)
+    assert not hinted()
+    monkeypatch.setattr(shared, "BROADCAST_ENTRIES", 0)
+    rng = random.Random(7)
+    passage = prose(rng, 150)
+    texts = [f"{prose(rng, 60)} {passage} {prose(rng, 60)}" for _ in range(3)] + [prose(rng, 200)]
+    assert cut_rows(spark, texts) == covered(texts, suffixdedup.LEAST)
+
+
 def test_crowded_minimizers_give_the_same_cuts(spark, corpus, monkeypatch):
     monkeypatch.setattr(suffixdedup, "CROWD", 2)
     assert cut_rows(spark, corpus) == covered(corpus, suffixdedup.LEAST)
