@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontam, langid, layout, mixing, ngramjoin, quality, spotsigs, suffixdedup, warc
+from kerbline.llm import align, chat, decontam, langid, layout, mixing, ngramjoin, quality, spotsigs, suffixdedup, warc
 from kerbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op3_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_strength(table(spark, sf_dir, "documents"))
