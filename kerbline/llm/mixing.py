@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kerbline.llm.common import _SPACE, land, pieces
@@ -38,10 +39,10 @@ REPEATS = 2
 CELL_DIGITS = 3
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
-    """Row (all columns as a struct), source key, shuffle key, and the number of words of the whole text."""
+def with_sizes(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Row (all columns, or those to carry, as a struct), source key, shuffle key, and the number of words of the whole text."""
     chosen = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source_key"),
         F.md5(
             F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.col("text")), F.lit("#")))
@@ -64,8 +65,8 @@ def with_sizes(docs: DataFrame) -> DataFrame:
                 columns = [rows.column(n) for n in ("row", "source_key", "place")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64())], names=["row", "source_key", "place", "size"])
 
-    kind = chosen.schema["row"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"row {kind}, source_key string, place string, size bigint")
+    kinds = [T.StructField("source_key", T.StringType()), T.StructField("place", T.StringType()), T.StructField("size", T.LongType())]
+    return chosen.mapInArrow(run, T.StructType([chosen.schema["row"], *kinds]))
 
 
 def targets(cells: DataFrame) -> DataFrame:
@@ -88,12 +89,12 @@ def targets(cells: DataFrame) -> DataFrame:
     )
 
 
-def schedule(docs: DataFrame) -> DataFrame:
-    """One row per document: row (its columns), size, source_size, target, taken, and its copies.
+def schedule(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """One row per document: row (its columns, or those to ``carry``, doc_id among them), size, source_size, target, taken, and its copies.
 
     ``copies`` holds a struct of pass, finish (virtual time) and words for each copy that the mix takes.
     """
-    sizes = with_sizes(docs).withColumn("cell", F.substring("place", 1, CELL_DIGITS))
+    sizes = with_sizes(docs, carry).withColumn("cell", F.substring("place", 1, CELL_DIGITS))
     cells = land(sizes.groupBy("source_key", "cell").agg(F.sum("size").alias("size")), "mix-cells")
     running = Window.partitionBy("source_key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -126,7 +127,7 @@ def mix(docs: DataFrame) -> DataFrame:
     parts = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(parts, F.lit(1), F.col("copy.words").cast("int")), "")
     text = F.when(F.col("copy.words") < F.col("size"), cut).otherwise(F.col("row.text"))
-    columns = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("pass", "finish", "words")]
+    columns = [text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("pass", "finish", "words")]
     return (
         plan.select(*columns, F.col("copy.pass").alias("pass"), F.col("copy.finish").alias("finish"), F.col("copy.words").alias("words"))
         .orderBy("finish", "doc_id", "pass")

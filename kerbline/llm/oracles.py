@@ -133,3 +133,102 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> original THEN original END AS refers_to
 FROM digests
 """
+
+
+def _path(path: str, cost: str, edits: str) -> str:
+    """A path is its cost in nine digits and its edits, so the least text is the cheapest path, ties ASCII-least."""
+    return f"lpad(CAST(CAST(left({path}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({path}, 10) || {edits}"
+
+
+def _asked(path: str, letter: str, inserts: bool) -> str:
+    """Keep or rerole a row where ``letter`` is due, behind an inserted row or not."""
+    keeps = f"(own = '{letter}')"
+    edits = f"'{'I' if inserts else ''}' || CASE WHEN {keeps} THEN 'K' ELSE 'R' END"
+    return _path(path, f"{5 if inserts else 0} + 5 * CAST(cut AS INT) + 1 - CAST({keeps} AS INT)", f"({edits})")
+
+
+def _stepped(state: int, ways: list[str]) -> str:
+    deleted = _path(f"s{state}", "2", "'D'")
+    return f"CASE WHEN gone THEN {deleted} ELSE least({', '.join([deleted, *ways])}) END"
+
+
+# Paths by the last row: s0 none, s1 system, s2 user, s3 assistant.
+_STEPS = ", ".join(
+    [
+        _stepped(0, []),
+        _stepped(1, [f"CASE WHEN own = 's' THEN {_path('s0', '5 * CAST(cut AS INT)', chr(39) + 'K' + chr(39))} END"]),
+        _stepped(2, [*(_asked(f"s{k}", "u", False) for k in (0, 1, 3)), _asked("s2", "u", True)]),
+        _stepped(3, [_asked("s2", "a", False), *(_asked(f"s{k}", "a", True) for k in (0, 1, 3))]),
+    ]
+)
+
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS crc),
+told AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+drawn AS (
+  SELECT conv_id, turn, role, text,
+         xor(4294967295, list_reduce(list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(name[i]) AS BIGINT)),
+           lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295)) % 20 AS fault
+  FROM told, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))
+  FROM drawn),
+placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS own,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+marked AS (
+  SELECT conv_id, turn, role, text, own, i, bare = '' AS blank, bare <> '' AND again AS duplicate,
+         bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut, bare = '' OR again AS gone,
+         i > 1 AND lag(own) OVER (PARTITION BY conv_id ORDER BY i) || own NOT IN ('su', 'ua', 'au') AS illegal
+  FROM seen),
+names AS (SELECT DISTINCT conv_id FROM conversations),
+paths(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '000000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM names
+  UNION ALL
+  SELECT p.conv_id, m.i, {_STEPS}
+  FROM paths p JOIN marked m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.i + 1),
+ended AS (
+  SELECT conv_id, least(s0, s3, {_path("s2", "5", "'I'")}, {_path("s1", "10", "'II'")}) AS path
+  FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+letters AS (
+  SELECT conv_id, k, path[k + 9] AS edit
+  FROM (SELECT conv_id, path, unnest(range(1, length(path) - 8)) AS k FROM ended)),
+edits AS (
+  SELECT conv_id, k, edit, count(*) FILTER (edit <> 'I') OVER before AS i, count(*) FILTER (edit <> 'D') OVER before AS place
+  FROM letters WINDOW before AS (PARTITION BY conv_id ORDER BY k)),
+remaining AS (
+  SELECT e.conv_id, place, edit, m.role, CASE edit WHEN 'I' THEN '' ELSE m.text END AS text,
+         max(CASE WHEN place = 1 AND edit = 'K' AND own = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+  FROM edits e LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM e.conv_id AND m.i = e.i
+  WHERE edit <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                             chr(10) ORDER BY place) AS told
+  FROM remaining GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM marked GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(path, 9) AS BIGINT) AS cost,
+       substr(path, 10) AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+             LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+# The sets of op8 at another bound, and which documents stay.
+ORACLES["op13_bbit_minhash"] = f"""
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
+FROM ({ORACLES["op8_ngram_join"].replace("100 * shared >= 75 *", "100 * shared >= 85 *")})
+"""

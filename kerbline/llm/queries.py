@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import align, chat, decontam, langid, layout, mixing, ngramjoin, quality, spotsigs, suffixdedup, warc
+from kerbline.llm import align, bbit, chat, decontam, langid, layout, mixing, ngramjoin, quality, repair, spotsigs, suffixdedup, warc
 from kerbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +20,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 @query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    plan = mixing.schedule(table(spark, sf_dir, "documents"), ["doc_id"])
     return plan.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
@@ -88,3 +88,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.link_strength(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.repair(repair.damage(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit.near_groups(table(spark, sf_dir, "documents"))
