@@ -1,25 +1,11 @@
-"""Exact linear-interpolated quantiles without holding a group's values in one task.
-
-Pass one sketches a row sample of bounded size, which gives a narrow bracket around every wanted
-quantile. Pass two reads all rows and counts values one by one inside the brackets and as single
-totals between them, so only a sliver of the distinct values is ever shuffled, and exact ranks
-follow from a running total. Counting combines map-side, so a group or value holding most rows
-costs no more than any other. The sample decides only how narrow the brackets are: ranks come from
-all rows, and a bracket that missed its rank fails the query instead of giving a wrong value.
-"""
+"""Exact linear-interpolated quantiles of groups, from the values at neighbouring ranks (``selection``)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.shared import attach, sized
-
-SAMPLE_ROWS = 20_000_000
-ACCURACY = 5_000
-WIDTHS = [0.002, 0.01, 0.05, 0.25, 1.0]
+from kerbline.functions.selection import select_ranks
 
 
 def long_form(df: DataFrame, values: list[str], by: list[str]) -> DataFrame:
@@ -44,75 +30,18 @@ def exact_quantiles(
     """Rows (by..., feature, n, mean, q) where ``q`` holds one exact quantile per probability.
 
     ``bounded_groups`` states that the grouping columns have a fixed small domain (months, hours);
-    otherwise the number of groups is counted before the bracket table is broadcast. A group too
-    small to be sampled has no bracket and all of its values are counted.
+    otherwise the number of groups is counted before anything is broadcast.
     """
-    by = list(by or [])
-    keys = [*by, "feature"]
-    rows = long_form(df, values, by)
-    size = len(probabilities)
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    sampled = attach(rows, total).where(F.rand(11) * F.col("total") < SAMPLE_ROWS)
+    keys = [*(by or []), "feature"]
+    rows = long_form(df, values, by or [])
     steps = ", ".join(f"{float(p)!r}D" for p in probabilities)
-    ends = ", ".join(f"{min(1.0, max(0.0, p + sign * w))!r}D" for p in probabilities for sign in (-1, 1) for w in WIDTHS)
-    sketch = sampled.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
-        F.expr(f"percentile_approx(v, array({ends}), {ACCURACY})").alias("g"),
-        F.count("v").cast("double").alias("seen"),
-        F.max("total").alias("total"),
-    )
-    # The narrowest bracket beyond eight standard deviations of a sampled rank plus the sketch error.
-    margin = F.expr(f"CASE WHEN total > {SAMPLE_ROWS} THEN 4 / sqrt(seen) ELSE 0D END + {2 / ACCURACY!r}D")
-    widths = ", ".join(f"{w!r}D" for w in WIDTHS)
-    sketch = sketch.withColumn("m", margin).withColumn(
-        "level", F.expr(f"least(size(filter(array({widths}), w -> w < m)), {len(WIDTHS) - 1})")
-    )
-    span, width = 2 * len(WIDTHS), f"array({widths})[level]"
-    low = f"transform(array({steps}), (p, i) -> IF(p - {width} <= 0, double('-inf'), g[i * {span} + level]))"
-    high = f"transform(array({steps}), (p, i) -> IF(p + {width} >= 1, double('inf'), g[i * {span} + {len(WIDTHS)} + level]))"
-    brackets = sketch.select(*[f"_k_{k}" for k in keys], F.expr(f"concat({low}, {high})").alias("b"))
-    brackets = F.broadcast(brackets) if bounded_groups or not by else sized(brackets)
-    same_group = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    joined = rows.join(brackets, same_group, "left")
-
-    inside = " OR ".join(f"(v >= b[{i}] AND v <= b[{i + size}])" for i in range(size))
-    gap = ", ".join(f"CASE WHEN b[{i + size}] < v THEN b[{i + size}] END" for i in range(size))
-    cells = (
-        joined.withColumn("inside", F.expr(f"b IS NULL OR {inside}"))
-        .withColumn("cell", F.expr(f"CASE WHEN inside THEN v ELSE greatest({gap}, NULL) END"))
-        .groupBy(*keys, "inside", "cell")
-        .agg(
-            F.count("v").alias("rows"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-            F.sum("v").alias("s"),
-        )
-    )
-    running = Window.partitionBy(*keys).orderBy("lo").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    ranked = cells.select(
-        "*",
-        F.sum("rows").over(running).alias("stop"),
-        F.sum("rows").over(whole).alias("n"),
-        F.sum("s").over(whole).alias("sum"),
-    ).withColumns({"start": F.col("stop") - F.col("rows"), "mean": F.col("sum") / F.col("n")})
-
-    # Every probability needs the values at two neighbouring ranks; a row answers those it spans.
-    wanted = ", ".join(
-        f"named_struct('i', {i}, 'z', {z}, 'rank', least(floor((n - 1) * {float(p)!r}D) + {z}, n - 1))"
-        for i, p in enumerate(probabilities)
-        for z in (0, 1)
-    )
-    value = """CASE WHEN t.rank = start THEN lo WHEN t.rank = stop - 1 THEN hi WHEN lo = hi THEN lo
-        ELSE CAST(raise_error('quantile outside its bracket') AS DOUBLE) END"""
-    hits = (
-        ranked.select(
-            *keys, "n", "mean", "lo", "hi", "start", "stop",
-            F.explode(F.expr(f"filter(array({wanted}), t -> t.rank >= start AND t.rank < stop)")).alias("t"),
-        )
-        .select(*keys, "n", "mean", F.struct("t.i", "t.z", F.expr(value).alias("value")).alias("hit"))
-        .groupBy(*keys)
-        .agg(F.max("n").alias("n"), F.max("mean").alias("mean"), F.sort_array(F.collect_list("hit")).alias("h"))
+    ranks = F.expr(f"flatten(transform(array({steps}), p -> array(floor((size - 1) * p), least(floor((size - 1) * p) + 1, size - 1))))")
+    found = select_ranks(rows, keys, "v", ranks, "v", bounded_groups or not by)
+    held = found.groupBy(*keys).agg(
+        F.first("size").alias("n"),
+        (F.first("total") / F.first("size")).alias("mean"),
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
     )
-    q = f"""transform(array({steps}), (p, i) ->
-        h[2 * i].value + (h[2 * i + 1].value - h[2 * i].value) * ((n - 1) * p - floor((n - 1) * p)))"""
-    return hits.select(*keys, "n", "mean", F.expr(q).alias("q"))
+    q = f"""transform(array({steps}), p -> at[CAST(floor((n - 1) * p) AS BIGINT)]
+        + (at[CAST(least(floor((n - 1) * p) + 1, n - 1) AS BIGINT)] - at[CAST(floor((n - 1) * p) AS BIGINT)]) * ((n - 1) * p - floor((n - 1) * p)))"""
+    return held.select(*keys, "n", "mean", F.expr(q).alias("q"))

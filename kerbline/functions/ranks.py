@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.errors import DataError
-from kerbline.shared import attach
+from kerbline.functions.selection import select_ranks
+from kerbline.shared import saved, sized
 
 HASH_SPAN = 16**13
-ACCURACY = 10_000
-SAMPLE_ROWS = 20_000_000
+SLICE_ROWS = 1_000_000
 
 
 def row_hash(*keys: str, seed: int = 42) -> Column:
@@ -25,28 +25,15 @@ def literal(value, dtype: str) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def _kth(df: DataFrame, column: str, k: int, total: int):
+def _kth(df: DataFrame, column: str, k: int):
     """(value of the k-th row in order of ``column``, rows strictly before it, rows equal to it)."""
-    dtype = dict(df.dtypes)[column]
-    col = F.col(column)
-    if dtype == "string":
+    if dict(df.dtypes)[column] == "string":
+        # Text breaks ties only: what is in question by now are the rows of one earlier value.
+        col = F.col(column)
         counts = df.where(col.isNotNull()).groupBy(col.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
         return _pick(counts, k) or _no_cut(column)
-    share = min(1.0, SAMPLE_ROWS / total)
-    sample = df.select(column) if share == 1 else df.select(column).sample(share, seed=11)
-    margin = 5 / ACCURACY + (0 if share == 1 else 4 / SAMPLE_ROWS**0.5)
-    while True:
-        near = [max(0.0, (k / total) - margin), min(1.0, (k / total) + margin)]
-        low, high = sample.agg(F.percentile_approx(col, near, ACCURACY).alias("b")).first()["b"]
-        whole = margin >= 1
-        cell = col if whole else F.when(col >= literal(low, dtype), col)
-        within = df.where(col.isNotNull() if whole else col <= literal(high, dtype))
-        found = _pick(within.groupBy(cell.alias("value")).agg(F.count(F.lit(1)).alias("rows")), k)
-        if found and found[0] is not None:
-            return found
-        if whole:
-            return _no_cut(column)
-        margin *= 20
+    row = select_ranks(df, [], column, F.array(F.lit(k - 1))).first()
+    return (row["value"], row["before"], row["equal"]) if row else _no_cut(column)
 
 
 def _no_cut(column: str):
@@ -77,35 +64,34 @@ def first_rows(df: DataFrame, order: list[str], k: int, total: int | None = None
     if k >= total:
         return F.lit(True)
     types = dict(df.dtypes)
-    scope, taken, left, size = F.lit(True), F.lit(False), k, total
+    scope, taken, left = F.lit(True), F.lit(False), k
     for column in order:
-        value, before, equal = _kth(df.where(scope), column, left, size)
+        value, before, equal = _kth(df.where(scope), column, left)
         here = literal(value, types[column])
         taken = taken | (scope & (F.col(column) < here))
         scope = scope & (F.col(column) == here)
-        left, size = left - before, equal
+        left -= before
         if left == equal:
             return taken | scope
     raise DataError(f"order columns {order} do not identify a row at the cut")
 
 
-def running_totals(df: DataFrame, order: str, sums: list[str], descending: bool = False, slices: int = 200) -> DataFrame:
+def running_totals(df: DataFrame, order: str, sums: list[str], descending: bool = False, slices: int | None = None) -> DataFrame:
     """Add ``before_<c>`` (total of ``c`` over rows ordered before this one) for unique ``order`` values.
 
-    Rows are cut into slices of about equal size; windows run inside a slice and the totals of the
-    earlier slices (at most ``slices`` + 1 rows) are added, so no task sees the whole table.
+    Rows are dealt by ranges of ``order`` into slices of about ``SLICE_ROWS``, however many that takes. Each slice is summed, the
+    totals of the slices before are its offset, and the window runs inside the slice. The dealt rows are kept, so that
+    a slice stays the same when it is read twice.
     """
-    grid = [i / slices for i in range(1, slices)]
-    edges = df.agg(F.percentile_approx(order, grid, 2000).alias("edges"))
-    cut = attach(df, edges).withColumn("slice", F.size(F.filter("edges", lambda e: e < F.col(order)))).drop("edges")
-    direction = F.col("slice").desc() if descending else F.col("slice").asc()
-    ahead = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col(order).desc() if descending else F.col(order).asc()
+    slices = slices or 1 + df.count() // SLICE_ROWS
+    cut = saved(df.repartitionByRange(slices, rank).withColumn("slice", F.spark_partition_id()))
+    ahead = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut.groupBy("slice").agg(*[F.sum(c).alias(f"t_{c}") for c in sums])
     offsets = offsets.select("slice", *[F.coalesce(F.sum(f"t_{c}").over(ahead), F.lit(0)).alias(f"o_{c}") for c in sums])
-    rank = F.col(order).desc() if descending else F.col(order).asc()
     inner = Window.partitionBy("slice").orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.join(F.broadcast(offsets), "slice")
+        cut.join(sized(offsets), "slice")
         .select(
             *df.columns,
             *[(F.coalesce(F.sum(c).over(inner), F.lit(0)) + F.col(f"o_{c}")).alias(f"before_{c}") for c in sums],

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.operators import lloyd
 from kerbline.operators.describe import share_of_total
 from kerbline.operators.features import adverse_weather_flag, zscore
 from kerbline.operators.quality import median_fill
@@ -82,36 +79,25 @@ def silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
     return rows.agg(F.avg("silhouette").alias("silhouette"), F.count(F.lit(1)).alias("rows"))
 
 
-def best_of_restarts(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = 42, parallelism: int = 8) -> KMeansModel:
-    """The fit with the lowest cost among ``restarts`` seeds; fits run concurrently."""
-
-    def fit(offset: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + offset, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-4).fit(vectors)
-
-    pool = ThreadPool(min(parallelism, restarts))
-    try:
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
-    finally:
-        pool.close()
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
 def kmeans_sweep(
     vectors: DataFrame, sizes: list[int] | None = None, restarts: int = RESTARTS
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """(clusters, inertia, silhouette) per candidate size, and the fitted models."""
+) -> tuple[DataFrame, dict[int, lloyd.Centers]]:
+    """(clusters, inertia, silhouette) per candidate size, and the best fit of each; all fits share their passes."""
+    sizes = sizes or SIZES
     held = vectors.persist()
-    rows, models = [], {}
     try:
-        for k in sizes or SIZES:
-            model = best_of_restarts(held, k, restarts)
-            models[k] = model
-            score = silhouette(model.transform(held), "cluster", "features").first()["silhouette"]
-            rows.append((k, float(model.summary.trainingCost), float(score)))
+        fits = lloyd.fit_all(held, "features", [(k, restart) for k in sizes for restart in range(restarts)])
+        best = {k: min((f for f in fits if f.size == k), key=lambda f: (f.inertia, f.restart)) for k in sizes}
+        scores = silhouettes(held, best)
     finally:
         held.unpersist()
-    spark = vectors.sparkSession
-    return spark.createDataFrame(rows, "clusters int, inertia double, silhouette double"), models
+    rows = [(k, best[k].inertia, scores[k]) for k in sizes]
+    return vectors.sparkSession.createDataFrame(rows, "clusters int, inertia double, silhouette double"), best
+
+
+def silhouettes(vectors: DataFrame, fits: dict[int, lloyd.Centers]) -> dict[int, float]:
+    """The silhouette of every fit over all rows."""
+    return {k: float(silhouette(fit.transform(vectors), "cluster", "features").first()["silhouette"]) for k, fit in fits.items()}
 
 
 def select_size(sweep: DataFrame) -> int:

@@ -739,6 +739,11 @@ requests AS (SELECT * FROM (VALUES ('Weekday travel during rain', 'Weekday', 'Ra
   ('Weekend travel in clear weather', 'Weekend', 'Clear'), ('Weekday travel during squall conditions', 'Weekday', 'Squall'))
   AS q(Scenario, day_type, weather))""" + RECOMMEND,
 )
+ORACLES["recommend_unknown"] = ORACLES["recommend_scenarios"].replace(
+    "Recommendation FROM answers", "Recommendation, true AS Answered FROM answers"
+) + """
+UNION ALL SELECT 'Weekend travel in a tornado', 'Weekend', 'Tornado', NULL, NULL, NULL, NULL,
+  'No historical observation of this weather', NULL, false"""
 
 # Drift
 ORACLES["occurrence_recode"] = on_features(f"SELECT {KEY}, rain_occurrence FROM features")
@@ -854,3 +859,31 @@ ORACLES["score_features"] = on_raw(
         + [f"CASE WHEN {TITLE} = '{c}' THEN 1.0::DOUBLE ELSE 0.0 END AS weather_main_{c}" for c in WEATHER]
     ) + f" FROM traffic_raw WHERE temp BETWEEN 200 AND 350 AND clouds_all BETWEEN 0 AND 100 AND {TITLE} IN {tuple(WEATHER)}"
 )
+
+# Requests out of contract, with all reasons; the rest are predicted.
+REASONS = f"""
+refusals AS (SELECT event_id, {TITLE} AS weather_main, concat_ws('; ', CASE WHEN date_time IS NULL THEN 'date_time missing' END,
+  CASE WHEN temp IS NULL OR temp < 200 OR temp > 350 THEN 'temp outside 200..350' END,
+  CASE WHEN rain_1h < 0 THEN 'rain_1h below 0' END, CASE WHEN snow_1h < 0 THEN 'snow_1h below 0' END,
+  CASE WHEN clouds_all IS NULL OR clouds_all NOT BETWEEN 0 AND 100 THEN 'clouds_all outside 0..100' END,
+  CASE WHEN coalesce({TITLE} NOT IN {tuple(WEATHER)}, true) THEN 'weather_main unknown' END) AS reasons FROM traffic_raw)"""
+ORACLES["quarantine_table"] = on_raw("SELECT * FROM refusals WHERE reasons <> ''", "," + REASONS)
+ORACLES["quarantine_stream"] = ORACLES["quarantine_table"]
+ORACLES["score_accounting"] = on_raw(
+    "SELECT count(*) FILTER (reasons = '') AS predicted, count(*) FILTER (reasons <> '') AS refused FROM refusals", "," + REASONS
+)
+ORACLES["drift_late_rows"] = on_raw(
+    "SELECT date_trunc('day', date_time) AS window_start, count(*) AS records FROM traffic_raw GROUP BY 1 "
+    "HAVING window_start + INTERVAL 25 HOUR <= (SELECT max(date_time) FROM traffic_raw)"
+)
+
+# Facts of fitted models that hold for every fit
+IN_TIME = f"""
+halves AS (SELECT *, row_number() OVER ({ORDERED}) <= floor(0.8 * count(*) OVER ()) AS is_train FROM traffic)"""
+ORACLES["tree_shapley_rows"] = on_traffic(f"SELECT {KEY}, true AS adds_up FROM halves WHERE NOT is_train", "," + IN_TIME)
+ORACLES["network_check"] = on_traffic(
+    f"""SELECT count(*) AS rows, {r('avg(abs(traffic_volume - guess))', 'hourly_mae', 4)}, true AS beats_hourly_mean, true AS stopped_early
+FROM halves JOIN (SELECT hour(date_time) AS h, avg(traffic_volume) AS guess FROM halves WHERE is_train GROUP BY 1) ON h = hour(date_time)
+WHERE NOT is_train""",
+    "," + IN_TIME,
+)

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.functions import calendar, text
 from kerbline.operators import (
-    cleaning, cluster, describe, drift, evaluate, explain, features, models,
-    quality, recommend, rules, runs, score, splits, stats,
+    cleaning, cluster, describe, drift, evaluate, explain, features, lloyd, models, network,
+    quality, recommend, rules, runs, score, splits, stats, treeshap,
 )
 from kerbline.plans import landed
 from kerbline.shared import attach, fresh_path, saved
 from kerbline.sources import tables
 from kerbline.sources.fixture import KEY, RAW_COLUMNS, derive_raw, read, traffic_raw, traffic_text
-from kerbline.streaming import jobs
+from kerbline.streaming import jobs, lateness
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -667,6 +666,33 @@ def boosted_regressor(spark, sf_dir):
     return _regressor(spark, sf_dir, fit, "Boosted Trees", "chronological")
 
 
+def _network(spark, sf_dir):
+    """The network, its chronological test rows and the error of the training mean by hour on them."""
+    rows = _model_rows(spark, sf_dir)
+    marked = splits.chronological_split(rows, ORDER)
+    train, test = marked.where("is_train").drop("is_train"), marked.where("NOT is_train").drop("is_train")
+    by_hour = train.groupBy(F.hour("date_time").alias("h")).agg(F.avg("traffic_volume").alias("prediction"))
+    guessed = test.join(F.broadcast(by_hour), F.hour("date_time") == F.col("h"))
+    hourly = evaluate.regression_metrics(guessed, "traffic_volume", "prediction").select(F.col("mae").alias("hourly_mae"))
+    return network.fit_network(train, ORDER), test, hourly
+
+
+@query
+def network_regressor(spark, sf_dir):
+    fitted, test, _ = _network(spark, sf_dir)
+    metrics = evaluate.regression_metrics(network.predict(fitted, test), "traffic_volume", "prediction")
+    return metrics.withColumns({"steps": F.lit(fitted.steps), "best_step": F.lit(fitted.best_step), "model": F.lit("Neural Network")})
+
+
+@query
+def network_check(spark, sf_dir):
+    """What holds for every fit: the rows judged, the error of the hourly mean, that it is beaten, and an early stop."""
+    fitted, test, hourly = _network(spark, sf_dir)
+    metrics = evaluate.regression_metrics(network.predict(fitted, test), "traffic_volume", "prediction")
+    judged = attach(metrics, hourly).withColumn("beats_hourly_mean", F.col("mae") < F.col("hourly_mae"))
+    return tidy(judged.select("rows", "hourly_mae", "beats_hourly_mean", F.lit(fitted.stopped).alias("stopped_early")), 4)
+
+
 @query
 def predict_batch(spark, sf_dir):
     model, test = _split_fit(spark, sf_dir, models.logistic_classifier, "stratified")
@@ -759,6 +785,29 @@ def sampled_shapley(spark, sf_dir):
     return explain.sampled_shapley(model, test, KEY).orderBy(F.col("mean_absolute_contribution").desc(), "feature")
 
 
+def _explained(spark, sf_dir):
+    model, test = _explained_forest(spark, sf_dir)
+    leaves = treeshap.leaf_table(model)
+    return model, test, leaves, treeshap.contributions(leaves, test, KEY)
+
+
+@query
+def tree_shapley(spark, sf_dir):
+    """Exact contributions of all test rows, by input."""
+    *_, parts = _explained(spark, sf_dir)
+    return treeshap.mean_absolute(parts).orderBy(F.col("mean_absolute_contribution").desc(), "feature")
+
+
+@query
+def tree_shapley_rows(spark, sf_dir):
+    """Each test row, and whether its contributions and the base value are its prediction."""
+    model, test, leaves, parts = _explained(spark, sf_dir)
+    base = treeshap.base_value(leaves)
+    told = F.aggregate("contributions", F.lit(float(base)), lambda total, x: total + x)
+    scored = models.predict_batch(model, test).select(*KEY, "prediction")
+    return parts.join(scored, KEY).select(*KEY, (F.abs(told - F.col("prediction")) < 1e-9 * F.greatest(F.lit(1.0), F.abs("prediction"))).alias("adds_up"))
+
+
 # Clusters
 
 
@@ -768,10 +817,10 @@ def _sweep(spark, sf_dir):
     path = landed.path_of(spark, sf_dir, "kmeans-sweep")
     if path not in landed.done:
         sweep, fitted = cluster.kmeans_sweep(vectors)
-        fitted[cluster.select_size(sweep)].write().overwrite().save(f"{path}/model")
+        fitted[cluster.select_size(sweep)].save(spark, f"{path}/model")
         sweep.write.mode("overwrite").parquet(f"{path}/sweep")
         landed.done.add(path)
-    return vectors, spark.read.parquet(f"{path}/sweep"), KMeansModel.load(f"{path}/model")
+    return vectors, spark.read.parquet(f"{path}/sweep"), lloyd.Centers.load(spark, f"{path}/model")
 
 
 @query
@@ -860,6 +909,14 @@ def recommend_scenarios(spark, sf_dir):
     return recommend.recommend(recommend.requests_table(spark, SCENARIOS), levels)
 
 
+@query
+def recommend_unknown(spark, sf_dir):
+    """Requests of which one names a weather that was never observed; every request has a row."""
+    asked = [*SCENARIOS, dict(Scenario="Weekend travel in a tornado", day_type="Weekend", weather="Tornado")]
+    levels = recommend.patterns(landed.features(spark, sf_dir))
+    return recommend.answers(recommend.requests_table(spark, asked), levels)
+
+
 @query
 def quiet_hours(spark, sf_dir):
     return describe.quiet_hours(landed.features(spark, sf_dir))
@@ -924,7 +981,8 @@ def score_features(spark, sf_dir):
 
 
 def _served_model(spark, sf_dir):
-    return models.forest_regressor(_model_rows(spark, sf_dir), trees=20, depth=10)
+    """The explained forest, as it was saved."""
+    return _explained_forest(spark, sf_dir)[0]
 
 
 @query
@@ -967,10 +1025,34 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 
 @query
 def score_stream(spark, sf_dir):
-    model = _served_model(spark, sf_dir)
-    out, state = fresh_path(spark, "scores"), fresh_path(spark, "score-state")
-    jobs.append_to(jobs.score_stream(_requests(_event_stream(spark, sf_dir)), model, KEY), out, state).awaitTermination()
-    return spark.read.parquet(out)
+    predictions, _ = _streamed(spark, sf_dir)
+    return jobs.written(spark, predictions).drop("batch_id")
+
+
+def _streamed(spark, sf_dir) -> tuple[str, str]:
+    """Paths of the predictions and the refused requests of one streaming run."""
+    out = [fresh_path(spark, name) for name in ("scores", "refused", "score-state")]
+    jobs.score_to(_requests(_event_stream(spark, sf_dir)), _served_model(spark, sf_dir), KEY, *out).awaitTermination()
+    return out[0], out[1]
+
+
+@query
+def quarantine_table(spark, sf_dir):
+    refused = quality.range_quarantine(_requests(traffic_raw(spark, sf_dir))).where("NOT is_valid")
+    return refused.select(*KEY, F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def quarantine_stream(spark, sf_dir):
+    _, refused = _streamed(spark, sf_dir)
+    return jobs.written(spark, refused).select(*KEY, F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def score_accounting(spark, sf_dir):
+    """Every streamed request has one outcome."""
+    counted = jobs.accounted(spark, *_streamed(spark, sf_dir))
+    return counted.agg(F.sum("predicted").alias("predicted"), F.sum("refused").alias("refused"))
 
 
 def _monitored(raw: DataFrame) -> DataFrame:
@@ -994,3 +1076,20 @@ def drift_stream(spark, sf_dir):
     out, state = fresh_path(spark, "drift"), fresh_path(spark, "drift-state")
     jobs.append_to(windows, out, state).awaitTermination()
     return tidy(spark.read.parquet(out))
+
+
+@query
+def drift_late_rows(spark, sf_dir):
+    """Four batches out of order: rows counted in their closed window, and rows that came after it closed."""
+    files, windows, late, state = (fresh_path(spark, name) for name in ("disordered", "late-windows", "late-rows", "late-state"))
+    events = read(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(files)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    rows = _monitored(derive_raw(stream))
+    lateness.drift_with_late_rows(rows, _frozen(spark, sf_dir), KEY, windows, late, state).awaitTermination()
+    counted = jobs.written(spark, windows).where("feature = 'hour'").select("window_start", F.col("records").alias("n"))
+    missed = jobs.written(spark, late).groupBy("window_start").agg(F.count("*").alias("n"))
+    everything = counted.unionByName(missed).groupBy("window_start").agg(F.sum("n").alias("records"))
+    # The newest row closes all windows that end an hour before it.
+    newest = _monitored(traffic_raw(spark, sf_dir)).agg((F.max("date_time") - F.expr("INTERVAL 25 HOURS")).alias("last"))
+    return attach(everything, newest).where("window_start <= last").select("window_start", "records")

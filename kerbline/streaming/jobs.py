@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from kerbline.functions.quantiles import long_form
 from kerbline.operators import drift
 from kerbline.operators.quality import range_quarantine
-from kerbline.operators.score import score_table
+from kerbline.operators.score import prediction_record, score_features, score_table
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -44,6 +44,41 @@ def quarantine_stream(requests: DataFrame, keep: list[str]) -> DataFrame:
     return range_quarantine(requests).where(~F.col("is_valid")).select(*keep, "reasons")
 
 
+def score_to(requests: DataFrame, model: Transformer, keep: list[str], predictions: str, quarantine: str, checkpoint: str) -> StreamingQuery:
+    """Score a stream of requests into two tables: predictions, and refused requests with reasons.
+
+    Both parts of a micro-batch are written under its id, so a batch that is run again after a failure replaces what it wrote
+    before. Each request is in one of the tables once; ``accounted`` counts them.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        judged = range_quarantine(batch).persist()
+        try:
+            write_batch(prediction_record(model.transform(score_features(judged.where("is_valid"), keep)), keep), predictions, batch_id)
+            write_batch(judged.where("NOT is_valid").select(*keep, "reasons"), quarantine, batch_id)
+        finally:
+            judged.unpersist()
+
+    return requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch into its own folder, which a replay of the batch replaces."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """What all micro-batches have written, with ``batch_id``."""
+    return spark.read.parquet(path)
+
+
+def accounted(spark: SparkSession, predictions: str, quarantine: str) -> DataFrame:
+    """(batch_id, predicted, refused): requests of each micro-batch by outcome."""
+    parts = [(predictions, 1, 0), (quarantine, 0, 1)]
+    counted = [written(spark, p).select("batch_id", F.lit(a).alias("a"), F.lit(b).alias("b")) for p, a, b in parts]
+    return counted[0].unionByName(counted[1]).groupBy("batch_id").agg(F.sum("a").alias("predicted"), F.sum("b").alias("refused"))
+
+
 def drift_windows(
     rows: DataFrame,
     frozen: DataFrame,

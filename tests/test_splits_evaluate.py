@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbline import DataError
-from kerbline.functions import ranks
+from kerbline.functions import ranks, selection
 from kerbline.operators import cluster, evaluate, splits
 
 
@@ -28,8 +28,8 @@ def test_first_rows_equals_a_sort(rows, order, k):
     assert members(rows, ranks.first_rows(rows, order, k)) == expected
 
 
-def test_first_rows_with_tiny_brackets(rows, monkeypatch):
-    monkeypatch.setattr(ranks, "SAMPLE_ROWS", 50)
+def test_first_rows_in_short_rounds(rows, monkeypatch):
+    monkeypatch.setattr(selection, "ROUND_BITS", 8)
     expected = {r["k"] for r in rows.orderBy("t", "k").limit(1500).collect()}
     assert members(rows, ranks.first_rows(rows, ["t", "k"], 1500)) == expected
 
