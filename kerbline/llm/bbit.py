@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from kerbline.llm.common import SHINGLE_WORDS, land, mixed, pieces, shingle_hashes, short_hash, small_batches, word_hashes
 from kerbline.llm.graph import components
+from kerbline.shared import sized
 
 PERCENT = 85
 BANDS, ROWS, BITS = 32, 4, 4
@@ -44,6 +45,8 @@ WORDS = HASHES // 64
 LEAST_PLACES = int(np.ceil(HASHES * (CUTOFF + (1 - CUTOFF) * 2.0**-BITS)))
 #: Members of a block of signatures, and shingles of a block of sets; a block of several small groups holds about as much.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 4096, 1_000_000
+#: Edges whose components one task finds.
+BLOCK_EDGES = 1_000_000
 
 _seeds = mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FLIPS, FACTORS = _seeds[:HASHES], _seeds[HASHES:] | np.uint64(1)
@@ -163,9 +166,10 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 def led_pairs(classes: DataFrame, members: DataFrame) -> DataFrame:
     """Each class with the likeliest leader of its buckets, if one is above the cutoff: a, b."""
-    shared = members.groupBy("rep").agg(F.sum("size").alias("shared"))
+    # A class has at most as many rows here as there are bands.
+    shared = members.groupBy("rep").agg(F.sum("size").alias("shared"), F.collect_list("band").alias("own"))
     lead = F.max(F.struct("shared", (-F.col("rep")).alias("less")))
-    leaders = members.join(shared, "rep").groupBy("band").agg((-lead["less"]).alias("b"))
+    leaders = shared.select("rep", "shared", F.explode("own").alias("band")).groupBy("band").agg((-lead["less"]).alias("b"))
     pairs = members.join(leaders, "band").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     signed = [classes.select(F.col("rep").alias(c), F.col("planes").alias(f"planes_{c}")) for c in ("a", "b")]
     judged = pairs.join(signed[0], "a").join(signed[1], "b").select("a", "b", places_of("planes_a", "planes_b").alias("places"))
@@ -175,7 +179,7 @@ def led_pairs(classes: DataFrame, members: DataFrame) -> DataFrame:
 
 def whole_sets(docs: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
     """Sets of the classes that ``reps`` (rep) name, read again from their text: rep, tokens."""
-    chosen = classes.select("rep", F.col("key").alias("_key")).join(reps, "rep", "left_semi")
+    chosen = sized(classes.select("rep", F.col("key").alias("_key")).join(reps, "rep", "left_semi"))
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(chosen, "rep")
     return described(texts, ["rep", "_key"], False).filter(F.col("key") == F.col("_key")).dropDuplicates(["rep", "key"]).select("rep", "tokens")
 
@@ -188,6 +192,41 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(sided[0], "a").join(sided[1], "b").filter(100 * both >= PERCENT * union).select("a", "b")
 
 
+def connected(edges: DataFrame, name: str) -> DataFrame:
+    """``edges`` (a, b) to (node, component), the least node reachable.
+
+    Edges are dealt evenly into blocks of at most about ``BLOCK_EDGES``. A block keeps, of its part of the graph, an edge from each node
+    to the least one it reaches. Where there are several blocks, rounds over those edges finish the work.
+    """
+    edges = land(edges.filter("a <> b").distinct(), name)
+    blocks = 1 + edges.count() // BLOCK_EDGES
+    dealt = edges.withColumn("block", F.pmod(F.xxhash64("a", "b"), F.lit(blocks)))
+    hung = dealt.groupBy("block").applyInArrow(least_reached, "a bigint, b bigint")
+    if blocks > 1:
+        return components(hung, name)
+    named = hung.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return named.union(named.select("component", "component").distinct())
+
+
+def least_reached(table: pa.Table) -> pa.Table:
+    """Each node of a block of edges, but the least of its component, with that one."""
+    a, b = (table.column(c).to_numpy() for c in ("a", "b"))
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = places[: len(a)], places[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        moved = label.copy()
+        for side in (x, y, label[x], label[y]):
+            np.minimum.at(moved, side, low)
+        moved = moved[moved]
+        if (moved == label).all():
+            break
+        label = moved
+    hung = label != np.arange(len(nodes))
+    return pa.table({"a": nodes[hung], "b": nodes[label[hung]]})
+
+
 def meeting(rows: DataFrame, group: str, weight: Column, limit: int) -> DataFrame:
     """``rows`` with the block they meet in (part, one, two): small groups share parts, and a group above the limit is cut into
     chunks by ``rep``, each pair of which is a block."""
@@ -282,7 +321,7 @@ def remaining_links(docs: DataFrame, classes: DataFrame, members: DataFrame, lab
     unlike = held.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("band")
     open_ = held.join(unlike, "band").join(classes.select("rep", "planes"), "rep")
     edges = land(meeting(open_, "band", F.lit(1), BLOCK_MEMBERS).groupBy("part", "one", "two").applyInArrow(forest, "a bigint, b bigint"), "edges")
-    trees = components(edges, "trees").select(F.col("node").alias("rep"), F.col("component").alias("tree"))
+    trees = connected(edges, "trees").select(F.col("node").alias("rep"), F.col("component").alias("tree"))
     comps = held.groupBy("rep").agg(F.first("comp").alias("comp"))
     trees = land(trees.join(comps, "rep").join(classes.select("rep", "planes"), "rep"), "trees")
     sets = land(trees.join(whole_sets(docs, trees, classes), "rep"), "tree-sets")
@@ -299,8 +338,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     pairs = land(led_pairs(classes, members), "led")
     involved = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
     links = land(confirmed(pairs, land(whole_sets(source, involved, classes), "sets")), "links")
-    rest = land(remaining_links(source, classes, members, land(components(links, "led"), "labels")), "rest")
-    labels = components(links.union(rest), "linked").withColumnRenamed("node", "rep")
+    rest = land(remaining_links(source, classes, members, land(connected(links, "led"), "labels")), "rest")
+    labels = connected(links.union(rest), "linked").withColumnRenamed("node", "rep")
     named = classes.select("key", "rep").join(labels, "rep", "left").select("key", F.coalesce("component", "rep").alias("linked"))
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("linked"))
     return rows.select("doc_id", "n_shingles", "key").join(named, "key", "left").select("doc_id", "n_shingles", own.alias("component_id")).withColumn(

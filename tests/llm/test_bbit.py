@@ -111,3 +111,17 @@ def test_no_pair_leaves_a_block_of_copies(spark):
     table = signed.append_column("rep", signed.column("doc_id")).append_column("comp", signed.column("doc_id"))
     edges = bbit.forest(table.append_column("band", [[1] * 60]))
     assert edges.num_rows == 59
+
+
+def test_connected_in_one_block_and_in_many(spark, monkeypatch):
+    rng = random.Random(4)
+    edges = [(k, k + 1) for k in range(0, 300)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(350)] + [(5000, 5000), (7, 9)]
+    group = {x: x for e in edges for x in e if e[0] != e[1]}
+    for a, b in edges * 2:
+        if a != b:
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group = {x: new if g == old else g for x, g in group.items()}
+    for block in (10**6, 60):
+        monkeypatch.setattr(bbit, "BLOCK_EDGES", block)
+        found = bbit.connected(spark.createDataFrame(edges, "a bigint, b bigint"), "test").collect()
+        assert len(found) == len(group) and {r["node"]: r["component"] for r in found} == group
