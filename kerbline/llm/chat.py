@@ -319,7 +319,7 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
             )
 
         for conv_id, own in groupby(messages, key=lambda m: m["conv_id"]):
-            text, spans = render({"messages": own})
+            text, spans = render({"messages": list(own)})
             held.append((conv_id, text, spans))
             size += len(text)
             if size > 1 << 20:

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbline.llm.common import _SLOTS, SHINGLE_WORDS, mixed, pieces, shingle_hashes, small_batches, word_hashes
 
@@ -236,8 +237,7 @@ def _one_pass(frame: DataFrame, items: Items, weights: Broadcast) -> DataFrame:
                     [rows.column("row"), rows.column("text"), pa.array(found, found_type)], names=["row", "text", "found"]
                 )
 
-    kind = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(run, f"row {kind}, text string, found {FOUND}")
+    return frame.mapInArrow(run, T.StructType([frame.schema[c] for c in ("row", "text", "found")]))
 
 
 def short_only(index: Items, words: np.ndarray) -> list[tuple]:
@@ -252,7 +252,7 @@ def short_only(index: Items, words: np.ndarray) -> list[tuple]:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every row of ``docs`` as the struct ``row`` with ``found``: the items it leaks, best window of each."""
     frame = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.lower("text").alias("text"), F.array().cast(FOUND).alias("found")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lower("text").alias("text"), F.array().cast(FOUND).alias("found")
     )
     weigh = shared_weights(benchmark)
     weights = docs.sparkSession.sparkContext.broadcast(weigh)

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbline.llm.common import bounded_sample, crc_mod, pieces
 
@@ -168,8 +169,8 @@ def score(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                     names=["doc_id", "lang_pred", "score", "rejected"],
                 )
 
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"doc_id {doc_type}, lang_pred string, score double, rejected boolean")
+    kinds = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("rejected", T.BooleanType())]
+    return frame.mapInArrow(run, T.StructType([frame.schema["doc_id"], *[T.StructField(*k) for k in kinds]]))
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -184,5 +185,5 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     The verdict is taken row by row beside the text, so no join by id is needed.
     """
     model = train(docs)
-    verdict = score(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc_id"), "text"), model)
+    verdict = score(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), "text"), model)
     return verdict.filter(~F.col("rejected")).select("doc_id.*")

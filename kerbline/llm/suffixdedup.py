@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kerbline.llm.bwt import SEPARATOR, repeated
@@ -74,58 +75,58 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def segments(data: np.ndarray, offsets: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
     """Row, minimizer, start, length, content hash, and whether the minimizer occurs twice in it."""
-    grams = len(data) - GRAM + 1
-    if grams < WINDOW:
+    grams, window = len(data) - GRAM + 1, least - GRAM + 1
+    if grams < window:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.int64, bool))
     sums, inverse = prefix_hashes(data), powers(_INVERSE, len(data))
     hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[:grams]) >> _PLACE_BITS
     place = np.arange(grams, dtype=np.uint64)
     keyed = hashes << _PLACE_BITS
-    first = sliding_min(keyed | place, WINDOW)
-    last = sliding_min(keyed | (np.uint64(grams) - place), WINDOW)
+    first = sliding_min(keyed | place, window)
+    last = sliding_min(keyed | (np.uint64(grams) - place), window)
     low = np.uint64((1 << 24) - 1)
     twice = (first & low) != np.uint64(grams) - (last & low)
     v = (first >> _PLACE_BITS).astype(np.int64)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    whole = row[: len(v)] == row[LEAST - 1 :]
+    whole = row[: len(v)] == row[least - 1 :]
     change = np.ones(len(v), bool)
     change[1:] = (v[1:] != v[:-1]) | (row[1 : len(v)] != row[: len(v) - 1]) | (whole[1:] != whole[:-1])
-    # Occurrences WINDOW apart are never in one window, but follow one another inside a segment.
+    # Occurrences ``window`` apart are never in one window, but follow one another inside a segment.
     found = first & low
     twice[1:] |= ~change[1:] & (found[1:] != found[:-1])
     starts = np.flatnonzero(change)
     ends = np.append(starts[1:], len(v))
     again = np.logical_or.reduceat(twice, starts)
     kept = whole[starts]
-    starts, ends, again = starts[kept], ends[kept] + LEAST - 1, again[kept]
+    starts, ends, again = starts[kept], ends[kept] + least - 1, again[kept]
     content = mixed((sums[ends] - sums[starts]) * inverse[starts])
     rows = row[starts]
     return rows, v[starts], starts - offsets[rows], (ends - starts).astype(np.int32), content.view(np.int64), again
 
 
-def chunked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def chunked(data: np.ndarray, offsets: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...]:
     """``segments``, in overlapping chunks where one text is longer than a place can number."""
-    if len(data) <= CHUNK + LEAST:
-        return segments(data, offsets)
+    if len(data) <= CHUNK + least:
+        return segments(data, offsets, least)
     parts = []
-    for at in range(0, len(data) - LEAST + 1, CHUNK):
-        part = data[at : at + CHUNK + LEAST - 1]
-        rows, v, s, n, h, again = segments(part, np.array([0, len(part)]))
+    for at in range(0, len(data) - least + 1, CHUNK):
+        part = data[at : at + CHUNK + least - 1]
+        rows, v, s, n, h, again = segments(part, np.array([0, len(part)]), least)
         parts.append((rows, v, s + at, n, h, again))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def with_segments(docs: DataFrame) -> DataFrame:
-    """text_key (md5), n_bytes and segments of every text of at least LEAST bytes."""
-    frame = docs.filter(F.octet_length("text") >= LEAST).select(F.md5("text").alias("text_key"), "text")
+def with_segments(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """text_key (md5), n_bytes and segments of every text of at least ``least`` bytes."""
+    frame = docs.filter(F.octet_length("text") >= least).select(F.md5("text").alias("text_key"), "text")
     kind = pa.struct([("v", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in pieces(batch, "text"):
-                row, v, s, n, h, again = chunked(data, offsets)
+                row, v, s, n, h, again = chunked(data, offsets, least)
                 ends = np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32)
                 values = pa.StructArray.from_arrays(
                     [pa.array(x, type=f.type) for x, f in zip((v, s, n, h, again), kind)], fields=list(kind)
@@ -163,7 +164,7 @@ def segment_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 RUNS = "v bigint, h bigint, n int, runs array<struct<a:int,b:int>>"
 
 
-def block_runs(table: pa.Table) -> pa.Table:
+def block_runs(table: pa.Table, least: int = LEAST) -> pa.Table:
     """Runs of window starts in each segment of a block whose windows occur again in the block."""
     joined, starts, at = [], [], 0
     for x in table.column("bytes"):
@@ -172,7 +173,7 @@ def block_runs(table: pa.Table) -> pa.Table:
         joined.append(np.where(data == SEPARATOR, np.uint8(255), data))  # 255 is in no UTF-8 text
         joined.append(np.zeros(1, np.uint8))
         at += len(data) + 1
-    places = repeated(np.concatenate(joined), LEAST)
+    places = repeated(np.concatenate(joined), least)
     owner = np.searchsorted(np.array(starts), places, side="right") - 1
     return runs_table(table, owner, places - np.array(starts)[owner])
 
@@ -187,15 +188,15 @@ def runs_table(table: pa.Table, owner: np.ndarray, place: np.ndarray) -> pa.Tabl
     return pa.table({"v": table.column("v"), "h": table.column("h"), "n": table.column("n"), "runs": pa.array(runs, kind)})
 
 
-def crowd_runs(rows: DataFrame) -> DataFrame:
+def crowd_runs(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """The same for minimizers with too many contents: windows counted by hash, a row each, combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, x in enumerate(batch.column(batch.schema.get_field_index("bytes"))):
                 data = np.frombuffer(x.as_buffer(), np.uint8)
-                sums, n = prefix_hashes(data), len(data) - LEAST + 1
-                hashes = mixed((sums[LEAST:] - sums[:-LEAST]) * powers(_INVERSE, n)).view(np.int64)
+                sums, n = prefix_hashes(data), len(data) - least + 1
+                hashes = mixed((sums[least:] - sums[:-least]) * powers(_INVERSE, n)).view(np.int64)
                 part = batch.slice(k, 1)
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.array(np.repeat(part.column(c).to_numpy(), n)) for c in ("v", "h", "n")], pa.array(np.arange(n, dtype=np.int32)), pa.array(hashes)],
@@ -213,9 +214,9 @@ def crowd_runs(rows: DataFrame) -> DataFrame:
     return runs.groupBy("v", "h", "n").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """text_key to the sorted runs [a, b) of window starts that are repeated, for texts that have any."""
-    texts = land(with_segments(docs), "segments")
+    texts = land(with_segments(docs, least), "segments")
     distinct = texts.groupBy("text_key").agg(F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"), F.first("segments").alias("segments"))
     distinct = land(distinct, "texts")
     rows = distinct.select("text_key", "copies", F.explode("segments").alias("x")).select("text_key", "copies", "x.*")
@@ -232,10 +233,10 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     quiet = found.join(sized(crowds), "v", "left_anti")
     total = quiet.agg(F.sum("n")).first()[0] or 0
     block = F.pmod(F.xxhash64("v"), F.lit(1 + total // BLOCK_BYTES)).alias("block")
-    runs = quiet.withColumn("block", block).groupBy("block").applyInArrow(block_runs, RUNS)
+    runs = quiet.withColumn("block", block).groupBy("block").applyInArrow(lambda found: block_runs(found, least), RUNS)
     if not crowds.isEmpty():
-        runs = runs.union(crowd_runs(found.join(sized(crowds), "v", "left_semi")))
-    complete = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") - LEAST + 1).cast("int").alias("b")))
+        runs = runs.union(crowd_runs(found.join(sized(crowds), "v", "left_semi"), least))
+    complete = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") - least + 1).cast("int").alias("b")))
     outcome = open_.filter("seen > 1").select("v", "h", "n", complete.alias("runs"))
     outcome = land(
         outcome.union(runs.join(open_.filter("seen = 1").select("v", "h", "n"), ["v", "h", "n"]).filter(F.size("runs") > 0)), "runs"
@@ -247,50 +248,65 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         .groupBy("text_key")
         .agg(F.sort_array(F.collect_list("r")).alias("runs"))
     )
-    everything = F.array(F.struct(F.lit(0).cast("bigint").alias("a"), (F.col("n_bytes") - LEAST + 1).alias("b")))
+    everything = F.array(F.struct(F.lit(0).cast("bigint").alias("a"), (F.col("n_bytes") - least + 1).alias("b")))
     return distinct.filter("copies > 1").select("text_key", everything.alias("runs")).union(spans)
 
 
-def cut(docs: DataFrame) -> DataFrame:
-    """Every row as the struct ``row`` with n_bytes, n_removed, n_spans, the kept bytes and their sha256."""
-    plan = land(repeated_runs(docs.select("text")), "cuts")
-    frame = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("text").alias("text"), F.md5("text").alias("text_key"))
+def spans_of(runs: list[dict], least: int) -> list[tuple[int, int]]:
+    """Byte ranges that the windows of sorted runs cover; runs that overlap or touch are one range."""
+    spans = []
+    for r in runs:
+        end = r["b"] + least - 1
+        if spans and r["a"] <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+        else:
+            spans.append((r["a"], end))
+    return spans
+
+
+def cut(docs: DataFrame, least: int = LEAST, words: int = 0) -> DataFrame:
+    """Every row as the struct ``row`` with n_bytes, n_removed, n_spans, the kept bytes and their sha256.
+
+    Ranges of fewer than ``words`` words stay.
+    """
+    plan = land(repeated_runs(docs.select("text"), least), "cuts")
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"), F.md5("text").alias("text_key"))
     frame = frame.join(sized(plan, lists="runs"), "text_key", "left").select("row", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "kept_text", "kept_sha256")}
             for text, runs in zip(batch.column(1), batch.column(2)):
-                data, end, spans, kept = (text.as_py() or "").encode(), 0, 0, []
-                for r in runs.as_py() or ():
-                    if r["a"] > end or not spans:
-                        kept.append(data[end : r["a"]])
-                        spans += 1
-                    end = max(end, r["b"] + LEAST - 1)
-                kept = b"".join([*kept, data[end:]])
-                for name, x in zip(out, (len(data), len(data) - len(kept), spans, kept, kept.decode(errors="ignore"), hashlib.sha256(kept).hexdigest())):
+                data = (text.as_py() or "").encode()
+                spans = [(a, b) for a, b in spans_of(runs.as_py() or [], least) if not words or len(data[a:b].split()) >= words]
+                stops = [0, *[b for _, b in spans]]
+                kept = b"".join(data[b:a] for b, a in zip(stops, [*[a for a, _ in spans], len(data)]))
+                for name, x in zip(out, (len(data), len(data) - len(kept), len(spans), kept, kept.decode(errors="ignore"), hashlib.sha256(kept).hexdigest())):
                     out[name].append(x)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(x, t) for x, t in zip(out.values(), types)]], names=["row", *out]
             )
 
-    kind = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(run, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string, kept_sha256 string")
+    added = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept", T.BinaryType())]
+    added += [("kept_text", T.StringType()), ("kept_sha256", T.StringType())]
+    return frame.mapInArrow(run, T.StructType([frame.schema["row"], *[T.StructField(*f) for f in added]]))
 
 
-def without_repeats(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, drop_emptied: bool = False, least: int = LEAST, words: int = 0) -> DataFrame:
     """``docs`` with repeated passages cut out of the text, and n_chars, if there, counted anew. Null stays null.
 
+    Passages are ranges covered by repeated strings of ``least`` bytes that hold ``words`` words or more.
+
     A text that is repeated as a whole becomes empty; with ``drop_emptied`` rows left without a word that had any go.
     """
-    kept = cut(docs)
+    kept = cut(docs, least, words)
     rows = kept.withColumn("_text", F.when(F.col("row.text").isNotNull(), F.col("kept_text")))
     if drop_emptied:
         rows = rows.filter((F.col("n_removed") == 0) | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     return rows.select(
         *[
-            (F.col("_text") if c == "text" else F.length("_text").cast(t) if c == "n_chars" else F.col("row")[c]).alias(c)
+            (F.col("_text") if c == "text" else F.length("_text").cast(t) if c == "n_chars" else F.col("row").getField(c)).alias(c)
             for c, t in docs.dtypes
         ]
     )

@@ -8,9 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_rows import rows
+from pyspark.sql import functions as F
 
 from kerbline import shared
-from kerbline.llm import decontam, graph, ngramjoin, spotsigs, suffixdedup
+from kerbline.llm import decontam, graph, mixing, ngramjoin, spotsigs, suffixdedup
 from kerbline.llm.bwt import repeated
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -223,3 +224,34 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     for out in (ngramjoin.near_groups(none), ngramjoin.one_of_each(none), suffixdedup.cut(none), decontam.leaks(none, bench), spotsigs.edited_rows(none)):
         assert out.count() == 0
+
+
+ODD_NAMES = ["my col", "a-b", "a.b", "row", "text_key", "key", "found", "size"]
+
+
+def odd(spark, texts):
+    docs = rows(spark, texts).drop("row", "token")
+    for name in ODD_NAMES:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    return docs
+
+
+def test_columns_with_odd_names_pass(spark, corpus):
+    docs = odd(spark, corpus)
+    bench = spark.createDataFrame([(1, "some words that nobody has written into any document here")], "item_id bigint, text string")
+    stages = [ngramjoin.one_of_each, lambda d: suffixdedup.without_repeats(d, least=200, words=20), lambda d: decontam.without_leaks(d, bench), mixing.mix]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns[: len(docs.columns)] == docs.columns
+        kept = out.collect()
+        assert kept and all(r[name] == f"{name}{r['doc_id']}" for r in kept for name in ODD_NAMES)
+
+
+def test_passages_count_by_words_where_asked(spark):
+    rng = random.Random(8)
+    passage, short = prose(rng, 60), prose(rng, 30)
+    texts = [f"{prose(rng, 40)} {passage} {prose(rng, 40)} {short} {prose(rng, 40)}" for _ in range(3)]
+    kept = suffixdedup.without_repeats(rows(spark, texts), least=80, words=50).orderBy("doc_id").collect()
+    for row, text in zip(kept, texts):
+        assert passage not in row["text"] and short in row["text"]
+        assert row["text"] == text.replace(" " + passage + " ", "")
