@@ -19,7 +19,8 @@ HEADLINE = [
     "date_hourly_summary", "top_k_measure", "daytype_summary", "quiet_hours", "hourly_peaks", "weather_summary",
     "histogram_mode_above_median", "pattern_weather_hour", "recommend_scenarios", "frequent_itemsets",
     "association_rules", "chronological_split", "fixed_size_sample", "drift_report", "roc_auc",
-    "logistic_classifier", "linear_regressor", "boosted_regressor",
+    "logistic_classifier", "linear_regressor", "boosted_regressor", "network_regressor", "kmeans_sweep", "silhouette",
+    "stratified_split", "csv_records", "quarantine_table",
 ]
 WARM_DIR = "/root/testdata/sf0.001"
 

@@ -13,6 +13,7 @@ from kerbline.errors import DataError
 from kerbline.functions import text
 from kerbline.functions.quantiles import exact_quantiles
 from kerbline.shared import attach, sized
+from kerbline.sources.tables import CORRUPT
 
 # Fixed values.
 NO_HOLIDAY = "No Holiday"
@@ -156,7 +157,7 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def cleaning_audit(raw: DataFrame) -> DataFrame:
-    """Rows touched by every cleaning step as (step, column, rows_changed)."""
+    """Rows touched by every cleaning step as (step, column, rows_changed), with unreadable lines where the table keeps them."""
     texts = ["holiday", "weather_main", "weather_description"]
     parsed_ts = text.timestamp("date_time")
     numbers = {c: typed(raw, c, t) for c, t in NUMERIC.items()}
@@ -170,6 +171,8 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
     for c in NUMERIC:
         counts[("invalid_number", c)] = parsed_ts.isNotNull() & F.col(c).isNotNull() & numbers[c].isNull()
     counts[("drop_incomplete", "all")] = parsed_ts.isNotNull() & incomplete
+    if CORRUPT in raw.columns:
+        counts[("corrupt_line", "all")] = F.col(CORRUPT).isNotNull()
     entries = [
         F.struct(F.lit(s).alias("step"), F.lit(c).alias("column"), F.count_if(e).alias("rows_changed"))
         for (s, c), e in counts.items()

@@ -34,11 +34,16 @@ def psi_bin_edges(reference: DataFrame, features: list[str], bins: int = BINS) -
     """
     steps = [i / bins for i in range(bins + 1)]
     quantiles = exact_quantiles(reference, features, steps).select("feature", F.array_distinct(F.array_sort("q")).alias("u"))
-    low, high = F.element_at("u", 1), F.element_at("u", -1)
+    return quantiles.select("feature", edges_of("u", bins).alias("edges"))
+
+
+def edges_of(distinct: str, bins: int = BINS) -> Column:
+    """Edges from distinct quantiles in order: themselves, or equal widths when they are fewer than three."""
+    low, high = F.element_at(distinct, 1), F.element_at(distinct, -1)
     flat = low == high
     lo, hi = F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
     even = F.array(*[lo + (hi - lo) * F.lit(float(i)) / F.lit(float(bins)) for i in range(bins)], hi)
-    return quantiles.select("feature", F.when(F.size("u") < 3, even).otherwise(F.col("u")).alias("edges"))
+    return F.when(F.size(distinct) < 3, even).otherwise(F.col(distinct))
 
 
 def bin_of(bins: int = BINS) -> Column:

@@ -149,6 +149,10 @@ ORDERED = "ORDER BY date_time, event_id, weather_main"
 
 # Sources and sinks
 ORACLES["csv_scan_raw"] = on_text(f"SELECT event_id::VARCHAR AS event_id, nullif(holiday, '') AS holiday, {', '.join(RAW[1:])} FROM traffic_text")
+_broken = "CASE WHEN event_id % 17 = 0 THEN weather_description || chr(10) || 'seen \"twice\", twice' ELSE weather_description END AS weather_description"
+ORACLES["csv_records"] = on_text(
+    f"SELECT event_id::VARCHAR AS event_id, nullif(holiday, '') AS holiday, {', '.join(_broken if c == 'weather_description' else c for c in RAW[1:])} FROM traffic_text"
+)
 ORACLES["feature_scan"] = on_features(
     f"SELECT date_time, traffic_volume, {r('temp', 'temp')}, {r('rain_1h', 'rain_1h')}, clouds_all, hour FROM features"
 )
@@ -791,15 +795,15 @@ SHIFT = (
     "greatest(traffic_volume * 1.35::DOUBLE + 500, 0) AS traffic_volume, temp + 12 AS temp, "
     "least(greatest(clouds_all + 30, 0), 100) AS clouds_all, greatest(rain_1h + 1, 0) AS rain_1h"
 )
+MOVED = f""",
+moved AS (SELECT is_weekend AS grp, hour, 1 AS rain_occurrence, {SHIFT} FROM features WHERE year(date_time) BETWEEN 2015 AND 2017),
+cur_long AS ({long('moved', 'grp, ')})"""
 ORACLES["psi"] = on_features(
     f"SELECT grp AS is_weekend, feature, {r('reference_mean', 'reference_mean')}, {r('current_mean', 'current_mean')}, "
     f"current_rows, {r('psi', 'psi')} FROM scores",
-    REFERENCE
-    + f""",
-moved AS (SELECT is_weekend AS grp, hour, 1 AS rain_occurrence, {SHIFT} FROM features WHERE year(date_time) BETWEEN 2015 AND 2017),
-cur_long AS ({long('moved', 'grp, ')})"""
-    + BINNED,
+    REFERENCE + MOVED + BINNED,
 )
+ORACLES["sketched_reference"] = on_features("SELECT grp AS is_weekend, feature, true AS within_bound FROM scores", REFERENCE + MOVED + BINNED)
 SAMPLED = f""",
 sample_rows AS (SELECT * FROM reference),
 scenario_rows AS (
@@ -882,7 +886,7 @@ IN_TIME = f"""
 halves AS (SELECT *, row_number() OVER ({ORDERED}) <= floor(0.8 * count(*) OVER ()) AS is_train FROM traffic)"""
 ORACLES["tree_shapley_rows"] = on_traffic(f"SELECT {KEY}, true AS adds_up FROM halves WHERE NOT is_train", "," + IN_TIME)
 ORACLES["network_check"] = on_traffic(
-    f"""SELECT count(*) AS rows, {r('avg(abs(traffic_volume - guess))', 'hourly_mae', 4)}, true AS beats_hourly_mean, true AS stopped_early
+    f"""SELECT count(*) AS rows, {r('avg(abs(traffic_volume - guess))', 'hourly_mae', 4)}, true AS stopped_early
 FROM halves JOIN (SELECT hour(date_time) AS h, avg(traffic_volume) AS guess FROM halves WHERE is_train GROUP BY 1) ON h = hour(date_time)
 WHERE NOT is_train""",
     "," + IN_TIME,

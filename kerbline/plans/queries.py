@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from kerbline.functions import calendar, text
 from kerbline.operators import (
     cleaning, cluster, describe, drift, evaluate, explain, features, lloyd, models, network,
-    quality, recommend, rules, runs, score, splits, stats, treeshap,
+    quality, recommend, reference_store, rules, runs, score, splits, stats, treeshap,
 )
 from kerbline.plans import landed
 from kerbline.shared import attach, fresh_path, saved
-from kerbline.sources import tables
+from kerbline.sources import records, tables
 from kerbline.sources.fixture import KEY, RAW_COLUMNS, derive_raw, read, traffic_raw, traffic_text
 from kerbline.streaming import jobs, lateness
 
@@ -57,6 +57,17 @@ def csv_scan_raw(spark, sf_dir):
     return tables.csv_scan_raw(spark, path, columns).drop(tables.CORRUPT)
 
 
+@query
+def csv_records(spark, sf_dir):
+    """The raw CSV with line breaks and quotes inside some descriptions, cut into records in parallel."""
+    path = fresh_path(spark, "broken-csv")
+    columns = ["event_id", *RAW_COLUMNS]
+    told = F.concat("weather_description", F.lit('\nseen "twice", twice'))
+    broken = traffic_text(spark, sf_dir).withColumn("weather_description", F.when(F.col("event_id") % 17 == 0, told).otherwise(F.col("weather_description")))
+    tables.write_table(broken.select(*columns), path, "csv")
+    return records.csv_records(spark, path, columns).drop(tables.CORRUPT)
+
+
 @query
 def feature_scan(spark, sf_dir):
     landed.features(spark, sf_dir)
@@ -679,18 +690,17 @@ def _network(spark, sf_dir):
 
 @query
 def network_regressor(spark, sf_dir):
-    fitted, test, _ = _network(spark, sf_dir)
+    fitted, test, hourly = _network(spark, sf_dir)
     metrics = evaluate.regression_metrics(network.predict(fitted, test), "traffic_volume", "prediction")
-    return metrics.withColumns({"steps": F.lit(fitted.steps), "best_step": F.lit(fitted.best_step), "model": F.lit("Neural Network")})
+    return attach(metrics, hourly).withColumns({"steps": F.lit(fitted.steps), "best_step": F.lit(fitted.best_step), "model": F.lit("Neural Network")})
 
 
 @query
 def network_check(spark, sf_dir):
-    """What holds for every fit: the rows judged, the error of the hourly mean, that it is beaten, and an early stop."""
+    """What holds for every fit: the rows judged, the error of the mean by hour on them, and an early stop."""
     fitted, test, hourly = _network(spark, sf_dir)
     metrics = evaluate.regression_metrics(network.predict(fitted, test), "traffic_volume", "prediction")
-    judged = attach(metrics, hourly).withColumn("beats_hourly_mean", F.col("mae") < F.col("hourly_mae"))
-    return tidy(judged.select("rows", "hourly_mae", "beats_hourly_mean", F.lit(fitted.stopped).alias("stopped_early")), 4)
+    return tidy(attach(metrics, hourly).select("rows", "hourly_mae", F.lit(fitted.stopped).alias("stopped_early")), 4)
 
 
 @query
@@ -948,6 +958,25 @@ def psi(spark, sf_dir):
     return tidy(_scores(spark, sf_dir))
 
 
+@query
+def sketched_reference(spark, sf_dir):
+    """The index against a reference of daily sketches, the last day added alone: is it within its bound of the exact one on the same edges?"""
+    reference, path = _reference(spark, sf_dir), fresh_path(spark, "reference")
+    last = reference.agg(F.max(F.to_date("date_time"))).first()[0]
+    for part in (F.to_date("date_time") < F.lit(last), F.to_date("date_time") == F.lit(last)):
+        reference_store.add_days(reference.where(part), path, "v1", drift.FEATURES)
+    sketched = saved(reference_store.frozen_reference(reference_store.merged(spark, path, "v1")))
+    later = features.shift_transform(landed.features(spark, sf_dir).where(calendar.years_between("date_time", 2015, 2017)))
+    current = drift.bin_profile(drift.occurrence_recode(later), sketched.select("feature", "edges"), ["is_weekend"], drift.FEATURES)
+    exact = drift.bin_profile(reference, sketched.select("feature", "edges"), [], drift.FEATURES)
+    exact = exact.select("feature", F.col("counts").alias("reference_counts"), F.col("n").alias("reference_rows"))
+    judged = current.join(F.broadcast(sketched), "feature").select(
+        "is_weekend", "feature", "counts", "n", "edges", drift.psi_value().alias("psi"), reference_store.share_bound().alias("bound")
+    )
+    both = judged.join(F.broadcast(exact), "feature").withColumn("exact", drift.psi_value())
+    return both.select("is_weekend", "feature", (F.abs(F.col("psi") - F.col("exact")) <= F.col("bound") + 1e-9).alias("within_bound"))
+
+
 @query
 def occurrence_recode(spark, sf_dir):
     return drift.occurrence_recode(landed.traffic(spark, sf_dir)).select(*KEY, "rain_occurrence")

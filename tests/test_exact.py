@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from kerbline.errors import DataError
 from kerbline.functions import quantiles, ranks, selection
-from kerbline.operators import lloyd, models, network, splits, treeshap
+from kerbline.operators import drift, lloyd, models, network, reference_store, splits, treeshap
+from kerbline.shared import fresh_path
 
 RNG = random.Random(7)
 
@@ -221,3 +222,26 @@ def test_fewer_rows_than_centers(spark):
     assert fit.inertia == 0 and fit.transform(rows).where("cluster IS NULL").count() == 1
     with pytest.raises(DataError):
         lloyd.fit_all(rows.limit(0), "features", [(2, 0)])
+
+
+def test_daily_sketches_are_the_exact_reference_while_small(spark):
+    rng = np.random.default_rng(2)
+    rows = spark.createDataFrame(
+        [(f"2020-01-{1 + k % 5:02d} 10:00:00", float(v), float(k % 3), 7.0) for k, v in enumerate(np.round(rng.normal(size=600), 1))], "t string, a double, b double, c double"
+    ).withColumn("date_time", F.col("t").cast("timestamp_ntz"))
+    path, names = fresh_path(spark, "store"), ["a", "b", "c"]
+    day = F.to_date("date_time")
+    reference_store.add_days(rows.where(day < "2020-01-05"), path, "v1", names)
+    reference_store.add_days(rows.where(day == "2020-01-05"), path, "v1", names)
+    reference_store.add_days(rows.where(day == "2020-01-05"), path, "v1", names)  # again: the day is replaced
+    reference_store.add_days(rows.limit(0), path, "v1", names)
+    frozen = {r["feature"]: r for r in reference_store.frozen_reference(reference_store.merged(spark, path, "v1")).collect()}
+    exact = drift.bin_profile(rows, spark.createDataFrame([(f, list(frozen[f]["edges"])) for f in names], "feature string, edges array<double>"), [], names)
+    for r in exact.collect():
+        held = frozen[r["feature"]]
+        assert (held["reference_rows"], held["reference_counts"]) == (r["n"], r["counts"])
+        assert held["reference_mean"] == pytest.approx(r["mean"])
+    # A rank of the sketch is a value of the table; the exact edges lie between neighbouring values.
+    for r in drift.psi_bin_edges(rows, ["b", "c"]).collect():
+        assert frozen[r["feature"]]["edges"] == r["edges"]
+    assert reference_store.merged(spark, path, "v2").count() == 0
