@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +47,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, so that a lost executor costs a read at most."""
+def land(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
+    """Write a table to the shared folder, or a folder in it, and read it back, so that a lost executor costs a read at most."""
     spark = df.sparkSession
     small_batches(spark)
-    path = fresh_path(spark, name)
+    path = f"{scratch}/{run_name(name)}" if scratch else fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder in the shared one for tables that only the block needs; it is removed at the end.
+
+    What leaves the block must have been landed outside of the folder.
+    """
+    folder = fresh_path(spark, name)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_sample(df: DataFrame, key, rows: int) -> DataFrame:
     """About ``rows`` rows by the hash of a key, never more: the share follows from a count, so no task sends many rows."""
     total = df.count()

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kerbline.llm.bwt import SEPARATOR, repeated
-from kerbline.llm.common import land, mixed, pieces
+from kerbline.llm.common import land, mixed, pieces, scratch_folder
 from kerbline.shared import sized
 
 LEAST = 400
@@ -188,7 +188,7 @@ def runs_table(table: pa.Table, owner: np.ndarray, place: np.ndarray) -> pa.Tabl
     return pa.table({"v": table.column("v"), "h": table.column("h"), "n": table.column("n"), "runs": pa.array(runs, kind)})
 
 
-def crowd_runs(rows: DataFrame, least: int = LEAST) -> DataFrame:
+def crowd_runs(rows: DataFrame, least: int = LEAST, scratch: str | None = None) -> DataFrame:
     """The same for minimizers with too many contents: windows counted by hash, a row each, combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def crowd_runs(rows: DataFrame, least: int = LEAST) -> DataFrame:
                     names=["v", "h", "n", "place", "window"],
                 )
 
-    windows = land(rows.select("v", "h", "n", "bytes").mapInArrow(run, "v bigint, h bigint, n int, place int, window bigint"), "crowd")
+    windows = land(rows.select("v", "h", "n", "bytes").mapInArrow(run, "v bigint, h bigint, n int, place int, window bigint"), "crowd", scratch)
     again = windows.groupBy("v", "window").count().filter("count > 1").select("v", "window")
     places = windows.join(again, ["v", "window"]).select("v", "h", "n", "place").distinct()
     # Places that follow one another differ from their rank by the same number.
@@ -214,32 +214,32 @@ def crowd_runs(rows: DataFrame, least: int = LEAST) -> DataFrame:
     return runs.groupBy("v", "h", "n").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
 
 
-def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def repeated_runs(docs: DataFrame, least: int = LEAST, scratch: str | None = None) -> DataFrame:
     """text_key to the sorted runs [a, b) of window starts that are repeated, for texts that have any."""
-    texts = land(with_segments(docs, least), "segments")
+    texts = land(with_segments(docs, least), "segments", scratch)
     distinct = texts.groupBy("text_key").agg(F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"), F.first("segments").alias("segments"))
-    distinct = land(distinct, "texts")
+    distinct = land(distinct, "texts", scratch)
     rows = distinct.select("text_key", "copies", F.explode("segments").alias("x")).select("text_key", "copies", "x.*")
     contents = rows.groupBy("v", "h", "n").agg(
         F.sum("copies").alias("seen"), F.max("again").alias("again"), F.min(F.struct("text_key", "s")).alias("at")
     )
-    contents = land(contents, "contents")
+    contents = land(contents, "contents", scratch)
     minimizers = contents.groupBy("v").agg(F.count("*").alias("contents"), F.sum("seen").alias("total"), F.max("again").alias("inside"), F.min("seen").alias("fewest"))
-    open_ = land(contents.join(minimizers.filter("total > 1 OR inside"), "v"), "open")
+    open_ = land(contents.join(minimizers.filter("total > 1 OR inside"), "v"), "open", scratch)
     wanted = open_.filter("(contents > 1 OR inside) AND fewest = 1").select("v", "h", "n", "contents", "at.text_key", "at.s")
-    found = land(segment_bytes(docs, wanted), "segment-bytes")
+    found = land(segment_bytes(docs, wanted), "segment-bytes", scratch)
     crowds = wanted.filter(F.col("contents") > CROWD).select("v").distinct()
-    crowds = land(crowds, "crowds")
+    crowds = land(crowds, "crowds", scratch)
     quiet = found.join(sized(crowds), "v", "left_anti")
     total = quiet.agg(F.sum("n")).first()[0] or 0
     block = F.pmod(F.xxhash64("v"), F.lit(1 + total // BLOCK_BYTES)).alias("block")
     runs = quiet.withColumn("block", block).groupBy("block").applyInArrow(lambda found: block_runs(found, least), RUNS)
     if not crowds.isEmpty():
-        runs = runs.union(crowd_runs(found.join(sized(crowds), "v", "left_semi"), least))
+        runs = runs.union(crowd_runs(found.join(sized(crowds), "v", "left_semi"), least, scratch))
     complete = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") - least + 1).cast("int").alias("b")))
     outcome = open_.filter("seen > 1").select("v", "h", "n", complete.alias("runs"))
     outcome = land(
-        outcome.union(runs.join(open_.filter("seen = 1").select("v", "h", "n"), ["v", "h", "n"]).filter(F.size("runs") > 0)), "runs"
+        outcome.union(runs.join(open_.filter("seen = 1").select("v", "h", "n"), ["v", "h", "n"]).filter(F.size("runs") > 0)), "runs", scratch
     )
     single = rows.filter("copies = 1").select("text_key", "v", "h", "n", "s")
     spans = (
@@ -269,7 +269,8 @@ def cut(docs: DataFrame, least: int = LEAST, words: int = 0) -> DataFrame:
 
     Ranges of fewer than ``words`` words stay.
     """
-    plan = land(repeated_runs(docs.select("text"), least), "cuts")
+    with scratch_folder(docs.sparkSession, "passages") as scratch:
+        plan = land(repeated_runs(docs.select("text"), least, scratch), "cuts")
     frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"), F.md5("text").alias("text_key"))
     frame = frame.join(sized(plan, lists="runs"), "text_key", "left").select("row", "text", "runs")
 
