@@ -133,6 +133,29 @@ def test_crowded_minimizers_give_the_same_cuts(spark, corpus, monkeypatch):
     assert cut_rows(spark, corpus) == covered(corpus, suffixdedup.LEAST)
 
 
+def test_crowds_make_parts_not_windows(spark, monkeypatch):
+    rng = random.Random(12)
+    passage, line = prose(rng, 200), prose(rng, 9) + "\n"
+    texts = [f"{prose(rng, 120)} {passage[rng.randrange(40) :]} {prose(rng, 120)}" for _ in range(40)]
+    texts += [f"{prose(rng, k)} {passage[:600]}{chr(97 + k) * (450 + k)}{line * 12}{passage[500:]}" for k in range(20)]
+    written = {}
+
+    def counted(df, name, scratch=None):
+        out = land(df, name, scratch)
+        written[name] = max(out.count(), written.get(name, 0))
+        return out
+
+    land = suffixdedup.land
+    monkeypatch.setattr(suffixdedup, "land", counted)
+    for least in (suffixdedup.LEAST, 200):
+        monkeypatch.setattr(suffixdedup, "CROWD", 2)
+        written.clear()
+        found = suffixdedup.cut(rows(spark, texts), least).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert [tuple(r)[1:] for r in sorted(found)] == covered(texts, least)
+        most = max(n for name, n in written.items() if name.startswith("crowd"))
+        assert written["crowds"] > 0 and most < 16 * written["contents"]
+
+
 def test_repeats_on_the_transform_equal_counting():
     rng = np.random.default_rng(2)
     for _ in range(60):
