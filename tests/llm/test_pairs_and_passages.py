@@ -1,8 +1,11 @@
 """Near duplicates, repeated passages and leaks against brute force, with the defined edge cases."""
 
+import glob
 import hashlib
+import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from kerbline import shared
 from kerbline.llm import decontam, graph, mixing, ngramjoin, spotsigs, suffixdedup
 from kerbline.llm.bwt import repeated
+from kerbline.llm.common import SHUFFLE_CLEANUP, land
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -156,6 +160,38 @@ def test_crowds_make_parts_not_windows(spark, monkeypatch):
         assert written["crowds"] > 0 and most < 16 * written["contents"]
 
 
+def test_tables_of_passages_go_once_they_are_read(spark, corpus, monkeypatch):
+    there = {}
+
+    def listed(df, name, scratch=None):
+        there[name] = {run.rpartition("-")[0] for _, folders, _ in os.walk(shared.shared_folder(spark)) for run in folders if scratch and run in written}
+        out = land(df, name, scratch)
+        written.update(os.path.basename(os.path.dirname(path)) for path in out.inputFiles())
+        return out
+
+    written, land = set(), suffixdedup.land
+    monkeypatch.setattr(suffixdedup, "land", listed)
+    assert cut_rows(spark, corpus) == covered(corpus, suffixdedup.LEAST)
+    assert there["texts"] == {"segments"} and there["contents"] == {"texts"}
+    assert there["segment-bytes"] == {"texts", "open"}
+
+
+def test_landing_leaves_no_shuffle_files(spark):
+    def shuffled():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {path for folder in folders for path in glob.glob(f"{folder.getPath()}/*/shuffle_*")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    one = land(spark.range(20_000).groupBy((F.col("id") % 7_000).alias("k")).count(), "one")
+    two = land(one.join(one.withColumnRenamed("count", "again").hint("merge"), "k"), "two")
+    assert two.filter("count = again").count() == 7_000 and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    for _ in range(50):
+        if not (left := [path for path in shuffled() - before if os.path.getsize(path) > 10_000]):
+            break
+        time.sleep(0.2)
+    assert not left
+
+
 def test_repeats_on_the_transform_equal_counting():
     rng = np.random.default_rng(2)
     for _ in range(60):
