@@ -68,6 +68,15 @@ def test_large_components_are_cut_into_pairs_of_chunks(spark, corpus, monkeypatc
     assert sorted(map(tuple, ngramjoin.near_groups(rows(spark, corpus)).select("doc_id", "component_id").collect())) == whole
 
 
+def test_map_of_shared_shingles_grows_with_the_documents(spark, monkeypatch):
+    """A map that is full takes every shingle for a shared one."""
+    monkeypatch.setattr(ngramjoin, "MAP_BITS", 9)
+    docs = rows(spark, [prose(random.Random(k), 120) for k in range(60)])
+    sets = ngramjoin.with_sets(docs, ["doc_id"], ngramjoin.frequencies(docs)).collect()
+    assert sum(len(r["tokens"]) for r in sets) < 60
+    assert [ngramjoin.map_size(n) for n in (1, 1 << 20, 3_200_000, 1 << 40)] == [9, 26, 28, 30]
+
+
 def test_join_of_null_ids_and_repeated_rows(spark):
     text = "a b c d e f g h i j"
     docs = rows(spark, [text, text, text, "other words that are long enough", None], [7, 7, None, None, None])
