@@ -82,22 +82,20 @@ def silhouette(df: DataFrame, label: str, vector: str) -> DataFrame:
 def kmeans_sweep(
     vectors: DataFrame, sizes: list[int] | None = None, restarts: int = RESTARTS
 ) -> tuple[DataFrame, dict[int, lloyd.Centers]]:
-    """(clusters, inertia, silhouette) per candidate size, and the best fit of each; all fits share their passes."""
+    """(clusters, inertia, silhouette) per candidate size, and the best fit of each; the rows are packed once, and all fits share
+    their passes."""
     sizes = sizes or SIZES
-    held = vectors.persist()
-    try:
-        fits = lloyd.fit_all(held, "features", [(k, restart) for k in sizes for restart in range(restarts)])
-        best = {k: min((f for f in fits if f.size == k), key=lambda f: (f.inertia, f.restart)) for k in sizes}
-        scores = silhouettes(held, best)
-    finally:
-        held.unpersist()
+    packed = lloyd.Rows(vectors, "features")
+    fits = lloyd.fit_all(packed, "features", [(k, restart) for k in sizes for restart in range(restarts)])
+    best = {k: min((f for f in fits if f.size == k), key=lambda f: (f.inertia, f.restart)) for k in sizes}
+    scores = silhouettes(packed, best)
     rows = [(k, best[k].inertia, scores[k]) for k in sizes]
     return vectors.sparkSession.createDataFrame(rows, "clusters int, inertia double, silhouette double"), best
 
 
-def silhouettes(vectors: DataFrame, fits: dict[int, lloyd.Centers]) -> dict[int, float]:
+def silhouettes(rows: lloyd.Rows, fits: dict[int, lloyd.Centers]) -> dict[int, float]:
     """The silhouette of every fit over all rows."""
-    return {k: float(silhouette(fit.transform(vectors), "cluster", "features").first()["silhouette"]) for k, fit in fits.items()}
+    return dict(zip(fits, lloyd.silhouettes(rows, list(fits.values()))))
 
 
 def select_size(sweep: DataFrame) -> int:

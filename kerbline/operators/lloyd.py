@@ -1,7 +1,7 @@
 """Many k-means fits in shared passes over the rows.
 
 A pass hands each task the centers of all fits that still move. For its rows the task finds the nearest center of every fit
-by one matrix product and returns counts, sums and squared distances of all centers; sums of many tasks are added in groups
+by one matrix product, adds members up by another, and returns counts and sums of all centers; sums of many tasks are added in groups
 first. A fit stops by itself when no center moves by more than ``TOLERANCE``, so there are as many passes as the longest
 fit needs, whatever the number of fits.
 
@@ -31,7 +31,9 @@ from kerbline.shared import fresh_path
 # Fixed values.
 MOST_PASSES = 300
 TOLERANCE = 1e-4
-BLOCK_ROWS = 4096
+BLOCK_ROWS, GROUP_BLOCKS = 4096, 16
+#: Rows whose distances to all centers are held at once, so that they stay in a core's cache.
+CACHE_ROWS = 1024
 FAN_IN = 64
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -55,7 +57,8 @@ class Centers:
             F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
             for c in self.centers
         ]
-        nearest = F.array_position(F.array(*gaps), F.array_min(F.array(*gaps))) - 1
+        # Inside the lambda the distances are bound once.
+        nearest = F.transform(F.array(F.array(*gaps)), lambda g: F.array_position(g, F.array_min(g)))[0] - 1
         return rows.withColumn(self.prediction, F.when(x.isNotNull(), nearest.cast("int")))
 
     def save(self, spark: SparkSession, path: str) -> None:
@@ -90,7 +93,8 @@ class Rows:
                     yield pa.RecordBatch.from_arrays([pa.array([x.shape[1]] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())], names=["width", "block"])
 
         path = fresh_path(rows.sparkSession, "kmeans-rows")
-        frame.mapInArrow(pack, "width int, block binary").write.parquet(path)
+        # Small row groups, so that a few files are still read by many tasks.
+        frame.mapInArrow(pack, "width int, block binary").write.option("parquet.block.row.count.limit", GROUP_BLOCKS).parquet(path)
         self.blocks = rows.sparkSession.read.schema("width int, block binary").parquet(path)
         found = self.blocks.select("width", F.spark_partition_id().alias("task")).agg(F.max("width"), F.count_distinct("task")).first()
         if not found[0]:
@@ -127,19 +131,22 @@ class Rows:
         return joined(parts.orderBy("part").toArrow().column("part"))
 
 
-def gaps(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Squared distances of rows to centers."""
-    return np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ centers.T + (centers * centers).sum(axis=1), 0)
-
-
-def draws(x: np.ndarray, seed: int) -> np.ndarray:
-    """An even draw from (0, 1) for each row, the same wherever the row stands."""
-    h = np.full(len(x), np.uint64(seed), np.uint64)
+def hashed(x: np.ndarray) -> np.ndarray:
+    """A hash of each row's values, the same wherever the row stands."""
+    h = np.zeros(len(x), np.uint64)
     for k in range(x.shape[1]):
         h = (h ^ np.ascontiguousarray(x[:, k] + 0.0).view(np.uint64)) * _MIX[0]
         h = (h ^ (h >> np.uint64(29))) * _MIX[1]
         h ^= h >> np.uint64(32)
-    return (h >> np.uint64(11)).astype(np.float64) / float(1 << 53) + 2.0**-54
+    return h
+
+
+def draws(h: np.ndarray, seed: int) -> np.ndarray:
+    """An even draw from (0, 1) for each hash."""
+    z = (h ^ np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)) * _MIX[0]
+    z = (z ^ (z >> np.uint64(29))) * _MIX[1]
+    z ^= z >> np.uint64(32)
+    return (z >> np.uint64(11)) * 2.0**-53 + 2.0**-54
 
 
 def starts(rows: Rows, fits: list[tuple[int, int]], seed: int) -> list[np.ndarray]:
@@ -150,14 +157,24 @@ def starts(rows: Rows, fits: list[tuple[int, int]], seed: int) -> list[np.ndarra
         open_ = [i for i, (size, _) in enumerate(fits) if size > k]
         held = [(chosen[i], 1 + seed + 1_000_003 * fits[i][1] + 7919 * fits[i][0] + 104_729 * k) for i in open_]
 
-        def best(x: np.ndarray, held=held) -> np.ndarray:
-            out = []
-            for centers, own in held:
-                weight = gaps(x, centers).min(axis=1) if len(centers) else np.ones(len(x))
-                # The least of -log(u) / w is drawn with probability w over the sum of all.
-                keys = np.where(weight > 1e-12, -np.log(draws(x, own)) / np.maximum(weight, 1e-300), np.inf)
-                at = np.lexsort((*x.T[::-1], keys))[0] if np.isinf(keys).all() else int(keys.argmin())
-                out.append(np.concatenate([[keys[at]], x[at]]))
+        centers = np.concatenate([c for c, _ in held])
+        bounds = np.arange(len(held) + 1) * k
+
+        def best(x: np.ndarray, held=held, centers=centers, bounds=bounds) -> np.ndarray:
+            out, h = [], hashed(x)
+            squares = np.hstack([s for *_, s in _members(x, centers, bounds)]) if len(centers) else np.ones((len(held), len(x)))
+            for weight, (_, own) in zip(squares, held):
+                # The least of -log(u) / w is drawn with probability w over the sum of all; (1 - u) / w is below it.
+                u, open_ = draws(h, own), weight > 1e-12
+                bound = np.where(open_, (1 - u) / np.maximum(weight, 1e-300), np.inf)
+                first = int(bound.argmin())
+                if open_[first]:
+                    near = np.flatnonzero(bound <= -np.log(u[first]) / weight[first])
+                    keys = -np.log(u[near]) / weight[near]
+                    at, key = near[keys.argmin()], keys.min()
+                else:
+                    at, key = np.lexsort(x.T[::-1])[0], np.inf
+                out.append(np.concatenate([[key], x[at]]))
             return np.concatenate(out)
 
         def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -170,9 +187,9 @@ def starts(rows: Rows, fits: list[tuple[int, int]], seed: int) -> list[np.ndarra
     return chosen
 
 
-def fit_all(vectors: DataFrame, column: str, fits: list[tuple[int, int]], seed: int = 42) -> list[Centers]:
+def fit_all(vectors: DataFrame | Rows, column: str, fits: list[tuple[int, int]], seed: int = 42) -> list[Centers]:
     """Fit every (number of centers, restart) together; the result is that of fitting each alone."""
-    rows = Rows(vectors, column)
+    rows = vectors if isinstance(vectors, Rows) else Rows(vectors, column)
     centers = starts(rows, fits, seed)
     done: dict[int, Centers] = {}
     for n in range(1, MOST_PASSES + 1):
@@ -189,20 +206,72 @@ def fit_all(vectors: DataFrame, column: str, fits: list[tuple[int, int]], seed:
     return [done[i] for i in range(len(fits))]
 
 
+def _members(x: np.ndarray, whole: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of rows after a column of ones, a row a center that marks its members, and a row a fit of squared distances to them.
+
+    ``whole`` holds the centers of all fits, those of a fit between two ``bounds``.
+    """
+    lift = np.concatenate([(whole * whole).sum(axis=1)[:, None], -2 * whole], axis=1)
+    sizes = np.diff(bounds)
+    firsts = np.flatnonzero(np.concatenate([[True], sizes[1:] != sizes[:-1]])).tolist()
+    alike = [(a, b, int(sizes[a])) for a, b in zip(firsts, [*firsts[1:], len(sizes)])]  # fits of equal size side by side
+    for at in range(0, len(x), CACHE_ROWS):
+        part = x[at : at + CACHE_ROWS]
+        ones = np.concatenate([np.ones((len(part), 1)), part], axis=1)
+        distance = lift @ ones.T  # less the row's own square, which all centers share
+        least, picked = np.empty((len(sizes), len(part))), np.empty(distance.shape, bool)
+        for a, b, size in alike:
+            own, marks = (m[bounds[a] : bounds[b]].reshape(b - a, size, -1) for m in (distance, picked))
+            least[a:b] = own[:, 0]
+            for k in range(1, size):
+                np.minimum(least[a:b], own[:, k], out=least[a:b])
+            np.equal(own, least[a:b, None], out=marks)
+            if np.count_nonzero(marks) != (b - a) * len(part):  # equal distances go to the first center
+                marks[:] = own.argmin(axis=1)[:, None] == np.arange(size)[:, None]
+        yield ones, picked.astype(np.float64), np.maximum(least + (part * part).sum(axis=1), 0)
+
+
 def _assigned(rows: Rows, centers: list[np.ndarray]) -> list[np.ndarray]:
-    """For each fit a row a center: members, their sum, and their squared distances."""
+    """For each fit a row a center: members and their sum, and in the last column of the first row the squared distances of all."""
     whole, bounds = np.vstack(centers), np.cumsum([0, *[len(c) for c in centers]])
 
     def count(x: np.ndarray) -> np.ndarray:
-        distance = gaps(x, whole)
         out = np.zeros((len(whole), x.shape[1] + 2))
-        ones = np.concatenate([np.ones((len(x), 1)), x], axis=1)
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            nearest = distance[:, a:b].argmin(axis=1)
-            picked = (nearest[:, None] == np.arange(b - a)).astype(np.float64)
-            out[a:b, :-1] = picked.T @ ones
-            out[a:b, -1] = np.bincount(nearest, distance[np.arange(len(x)), a + nearest], b - a)
+        for ones, picked, squares in _members(x, whole, bounds):
+            out[:, :-1] += picked @ ones
+            out[bounds[:-1], -1] += squares.sum(axis=1)
         return out.ravel()
 
     total = rows.fold(count, np.add).reshape(len(whole), -1)
     return [total[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def silhouettes(rows: Rows, fits: list[Centers]) -> list[float]:
+    """The mean silhouette of every fit over all rows by ``cluster.silhouette_rows``, in two passes for all fits."""
+    whole, bounds = np.vstack([f.centers for f in fits]), np.cumsum([0, *[len(f.centers) for f in fits]])
+
+    def add_up(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(whole), x.shape[1] + 2))  # members, their sum, their squares
+        for ones, picked, _ in _members(x, whole, bounds):
+            out += picked @ np.concatenate([ones, (ones[:, 1:] ** 2).sum(axis=1)[:, None]], axis=1)
+        return out.ravel()
+
+    sums = rows.fold(add_up, np.add).reshape(len(whole), -1)
+    n, s, q = sums[:, :1], sums[:, 1:-1], sums[:, -1:]
+
+    def score(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(fits) + 1)
+        out[-1] = len(x)
+        for ones, picked, _ in _members(x, whole, bounds):
+            away = np.maximum(n * (ones[:, 1:] ** 2).sum(axis=1) + q - 2 * s @ ones[:, 1:].T, 0)
+            for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+                own, size = picked[a:b] > 0, n[a:b]
+                near = np.where(own, away[a:b] / np.maximum(size - 1, 1), 0).sum(axis=0)
+                far = np.where(own | (size == 0), np.inf, away[a:b] / np.maximum(size, 1)).min(axis=0)
+                widest = np.maximum(near, far)
+                judged = ((size * own).sum(axis=0) > 1) & np.isfinite(far) & (widest > 0)
+                out[k] += ((far[judged] - near[judged]) / widest[judged]).sum()
+        return out
+
+    *total, count = rows.fold(score, np.add)
+    return [float(t / count) for t in total]

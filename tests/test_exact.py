@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbline.errors import DataError
 from kerbline.functions import quantiles, ranks, selection
-from kerbline.operators import drift, lloyd, models, network, reference_store, splits, treeshap
+from kerbline.operators import cluster, drift, lloyd, models, network, reference_store, splits, treeshap
 from kerbline.shared import fresh_path
 
 RNG = random.Random(7)
@@ -245,3 +245,16 @@ def test_daily_sketches_are_the_exact_reference_while_small(spark):
     for r in drift.psi_bin_edges(rows, ["b", "c"]).collect():
         assert frozen[r["feature"]]["edges"] == r["edges"]
     assert reference_store.merged(spark, path, "v2").count() == 0
+
+
+def test_silhouettes_of_all_fits_equal_those_one_by_one(spark):
+    rows = spark.range(700).selectExpr("array(double(id % 7), cast(id % 11 as double) / 3, double(id * id % 13)) AS features")
+    packed = lloyd.Rows(rows, "features")
+    fits = lloyd.fit_all(packed, "features", [(2, 0), (3, 0), (5, 1)])
+    fits.append(lloyd.Centers(3, 9, np.vstack([fits[0].centers, [[900.0, 0, 0]]]), 0.0, 1))  # a center without members
+    alone = [cluster.silhouette(f.transform(rows), "cluster", "features").first()["silhouette"] for f in fits]
+    assert np.allclose(lloyd.silhouettes(packed, fits), alone, atol=1e-9)
+    assert cluster.kmeans_sweep(rows, [2, 3], 2)[0].count() == 2
+    # Equal distances go to the first center.
+    for size, part in zip((2, 3), lloyd._assigned(packed, [np.zeros((2, 3)), np.array([[1.0, 1, 1], [1, 1, 1], [5, 5, 5]])])):
+        assert len(part) == size and part[1, 0] == 0 and part[:, 0].sum() == 700
