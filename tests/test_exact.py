@@ -258,3 +258,27 @@ def test_silhouettes_of_all_fits_equal_those_one_by_one(spark):
     # Equal distances go to the first center.
     for size, part in zip((2, 3), lloyd._assigned(packed, [np.zeros((2, 3)), np.array([[1.0, 1, 1], [1, 1, 1], [5, 5, 5]])])):
         assert len(part) == size and part[1, 0] == 0 and part[:, 0].sum() == 700
+
+
+def test_dropout_keeps_its_share_and_the_mean():
+    masks = network.dropout(np.random.SFC64([3, 4]), 20_001)
+    for mask, width, p in zip(masks, network.HIDDEN, network.DROPOUT):
+        assert mask.shape == (20_001, width) and mask.dtype == np.float32
+        assert np.mean(mask == 0) == pytest.approx(p, abs=0.002) and mask.mean() == pytest.approx(1, abs=0.003)
+    again = network.dropout(np.random.SFC64([3, 4]), 20_001)
+    assert all((a == b).all() for a, b in zip(masks, again))
+
+
+def test_network_blocks_are_read_by_many_tasks(spark):
+    rows = spark.range(0, 400_000, 1, 2).selectExpr("id", "double(id % 97) AS a", "double(id % 89) AS y")
+    path, *_ = network.packed(rows, ["a"], "y", ["id"])
+    with spark_setting(spark, "spark.sql.files.maxPartitionBytes", 300_000):
+        blocks = spark.read.schema("held boolean, block binary").parquet(path)
+        per_task = blocks.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 2
+
+
+def spark_setting(spark, name, value):
+    from kerbline.llm.common import setting
+
+    return setting(spark, name, value)
