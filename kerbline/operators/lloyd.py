@@ -15,7 +15,7 @@ without members; equal distances go to the first center; an empty table is an er
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbline.errors import DataError
-from kerbline.shared import fresh_path
+from kerbline.shared import block_splits, fresh_path
 
 # Fixed values.
 MOST_PASSES = 300
@@ -96,7 +96,8 @@ class Rows:
         # Small row groups, so that a few files are still read by many tasks.
         frame.mapInArrow(pack, "width int, block binary").write.option("parquet.block.row.count.limit", GROUP_BLOCKS).parquet(path)
         self.blocks = rows.sparkSession.read.schema("width int, block binary").parquet(path)
-        found = self.blocks.select("width", F.spark_partition_id().alias("task")).agg(F.max("width"), F.count_distinct("task")).first()
+        with block_splits(rows.sparkSession):
+            found = self.blocks.select("width", F.spark_partition_id().alias("task")).agg(F.max("width"), F.count_distinct("task")).first()
         if not found[0]:
             raise DataError("no vectors to cluster")
         self.width, self.many = found[0], found[1] > FAN_IN
@@ -115,7 +116,7 @@ class Rows:
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([slot % FAN_IN], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slot", "part"])
 
-        def joined(parts: pa.ChunkedArray) -> np.ndarray:
+        def joined(parts: Iterable[pa.Scalar]) -> np.ndarray:
             arrays = [np.frombuffer(p.as_buffer()) for p in parts]
             total = arrays[0]
             for part in arrays[1:]:
@@ -128,7 +129,9 @@ class Rows:
         parts = self.blocks.mapInArrow(run, PART)
         if self.many:
             parts = parts.groupBy("slot").applyInArrow(together, PART)
-        return joined(parts.orderBy("part").toArrow().column("part"))
+        with block_splits(parts.sparkSession):
+            # Sorted here: a sort by Spark would make the pass twice, once to find its bounds.
+            return joined(sorted(parts.toArrow().column("part"), key=lambda p: p.as_py()))
 
 
 def hashed(x: np.ndarray) -> np.ndarray:

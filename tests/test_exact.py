@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbline.errors import DataError
 from kerbline.functions import quantiles, ranks, selection
 from kerbline.operators import cluster, drift, lloyd, models, network, reference_store, splits, treeshap
-from kerbline.shared import fresh_path
+from kerbline.shared import fresh_path, setting
 
 RNG = random.Random(7)
 
@@ -272,13 +272,18 @@ def test_dropout_keeps_its_share_and_the_mean():
 def test_network_blocks_are_read_by_many_tasks(spark):
     rows = spark.range(0, 400_000, 1, 2).selectExpr("id", "double(id % 97) AS a", "double(id % 89) AS y")
     path, *_ = network.packed(rows, ["a"], "y", ["id"])
-    with spark_setting(spark, "spark.sql.files.maxPartitionBytes", 300_000):
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "300000"):
         blocks = spark.read.schema("held boolean, block binary").parquet(path)
         per_task = blocks.groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) > 2
 
 
-def spark_setting(spark, name, value):
-    from kerbline.llm.common import setting
+def test_a_pass_reads_its_rows_once(spark):
+    rows = spark.range(0, 9000, 1, 3).selectExpr("array(double(id), double(id % 7)) AS features")
+    packed, read = lloyd.Rows(rows, "features"), spark.sparkContext.accumulator(0)
 
-    return setting(spark, name, value)
+    def seen(x):
+        read.add(len(x))
+        return np.array([float(len(x))])
+
+    assert packed.fold(seen, np.add)[0] == 9000 and read.value == 9000
