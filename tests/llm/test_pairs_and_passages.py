@@ -68,6 +68,12 @@ def test_large_components_are_cut_into_pairs_of_chunks(spark, corpus, monkeypatc
     assert sorted(map(tuple, ngramjoin.near_groups(rows(spark, corpus)).select("doc_id", "component_id").collect())) == whole
 
 
+def test_rows_that_stay_are_shuffled_once(spark, corpus):
+    with shared.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = ngramjoin.one_of_each(rows(spark, corpus))._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(_at" in line for line in plan.splitlines()) == 2  # the rows and those who stay
+
+
 def test_map_of_shared_shingles_grows_with_the_documents(spark, monkeypatch):
     """A map that is full takes every shingle for a shared one."""
     monkeypatch.setattr(ngramjoin, "MAP_BITS", 9)
